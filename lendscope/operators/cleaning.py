@@ -45,6 +45,11 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: cells.blank_to_null(F.col(c)) for c in text_columns(df)})
 
 
+def empty_to_null(df: DataFrame) -> DataFrame:
+    """B4 for text that is stripped already, where only the empty text is blank."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text_columns(df)})
+
+
 def unify_lender(df: DataFrame) -> DataFrame:
     """One lender: the bank, else the third party, else the development company."""
     present = [c for c in LENDER_SOURCES if c in df.columns]
@@ -115,7 +120,7 @@ def clean(raw: DataFrame) -> DataFrame:
     """
     return (
         raw.transform(trim_text)
-        .transform(blank_to_null)
+        .transform(empty_to_null)
         .transform(unify_lender)
         .transform(drop_duplicates)
         .transform(coerce_numbers)

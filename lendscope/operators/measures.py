@@ -28,14 +28,13 @@ STATE, INDUSTRY, STATUS, SECTOR, LENDER, PROGRAM = (
 # Keys whose unknown value is not a group of its own.
 _NEEDS_KEY = {STATE, INDUSTRY, STATUS, LENDER}
 
-# What is summed per group: name, column.  Sums of known amounts are exact.
+# What is summed per group: column, name of its total.  Sums are exact.
 _SUMS = {
-    "amount_sum": "loan_amount",
-    "jobs_sum": "jobs_supported",
-    "charge_off_sum": "charge_off_amount",
-    "guaranteed_sum": "sba_guaranteed_approval",
+    "loan_amount": "total_funding",
+    "jobs_supported": "total_jobs_supported",
+    "charge_off_amount": "total_charge_off_amount",
+    "sba_guaranteed_approval": "guaranteed_funding",
 }
-_COUNTS = ("total_loans", "amount_count")
 
 FACT_COLUMNS = [
     STATE, "approval_fiscal_year", INDUSTRY, "naics_description", STATUS, LENDER, PROGRAM,
@@ -43,41 +42,38 @@ FACT_COLUMNS = [
 ]
 
 
-def _measures() -> tuple[Column, ...]:
-    return (
-        F.count(F.lit(1)).alias("total_loans"),
-        F.count("loan_amount").alias("amount_count"),
-        *[F.sum(source).alias(name) for name, source in _SUMS.items()],
-    )
+def _measures(fact: DataFrame) -> list[Column]:
+    """Count and sums of the amounts that ``fact`` has."""
+    sums = [F.sum(c).alias(name) for c, name in _SUMS.items() if c in fact.columns]
+    if "loan_amount" in fact.columns:
+        sums.append(F.count("loan_amount").alias("known_amounts"))
+    return [F.count(F.lit(1)).alias("total_loans"), *sums]
 
 
-def _added_up() -> tuple[Column, ...]:
-    return tuple(F.sum(name).alias(name) for name in (*_COUNTS, *_SUMS))
+def _added_up(rows: DataFrame) -> list[Column]:
+    """Totals of totals."""
+    names = [c for c in ("known_amounts", *_SUMS.values()) if c in rows.columns]
+    counted = F.coalesce(F.sum("total_loans"), F.lit(0)).alias("total_loans")
+    return [counted, *[F.sum(name).alias(name) for name in names]]
 
 
-def _named(totals: DataFrame, *keys: str) -> DataFrame:
-    """Totals under their public names.  A sum over no loan at all stays null."""
+def _finished(rows: DataFrame, *keys: str) -> DataFrame:
+    """Totals with unknown amounts as 0.  A sum over no loan at all stays null."""
     some = F.col("total_loans") > 0
-
-    def total(name: str) -> Column:
-        return F.when(some, or_zero(F.col(name)))
-
-    return totals.select(
-        *keys,
-        "total_loans",
-        total("amount_sum").alias("total_funding"),
-        F.try_divide(F.col("amount_sum").cast("double"), F.col("amount_count")).alias(
-            "average_loan_size"
-        ),
-        total("jobs_sum").alias("total_jobs_supported"),
-        total("charge_off_sum").alias("total_charge_off_amount"),
-        total("guaranteed_sum").alias("guaranteed_funding"),
-    )
+    total = {
+        name: F.when(some, or_zero(F.col(name))).alias(name)
+        for name in _SUMS.values()
+        if name in rows.columns
+    }
+    if "total_funding" in total:
+        added, known = F.col("total_funding").cast("double"), F.col("known_amounts")
+        total["average"] = F.try_divide(added, known).alias("average_loan_size")
+    return rows.select(*keys, "total_loans", *total.values())
 
 
-def _one_row_per_industry(totals: DataFrame) -> DataFrame:
+def _one_row_per_industry(rows: DataFrame) -> DataFrame:
     described = F.coalesce(F.max("naics_description"), F.lit(model.UNKNOWN))
-    return totals.groupBy(INDUSTRY).agg(described.alias("naics_description"), *_added_up())
+    return rows.groupBy(INDUSTRY).agg(described.alias("naics_description"), *_added_up(rows))
 
 
 def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
@@ -89,15 +85,15 @@ def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
     if isinstance(loans, Facets):
         return loans.totals(key)
     if key is None:
-        return _named(loans.agg(*_measures()))
+        return _finished(loans.agg(*_measures(loans)))
     if key == SECTOR:
         loans = loans.withColumn(SECTOR, sector_of(F.col(INDUSTRY)))
     if key in _NEEDS_KEY:
         loans = filters.known(loans, key)
     if key == INDUSTRY:
-        fine = loans.groupBy(INDUSTRY, "naics_description").agg(*_measures())
-        return _named(_one_row_per_industry(fine), INDUSTRY, "naics_description")
-    return _named(loans.groupBy(key).agg(*_measures()), key)
+        fine = loans.groupBy(INDUSTRY, "naics_description").agg(*_measures(loans))
+        return _finished(_one_row_per_industry(fine), INDUSTRY, "naics_description")
+    return _finished(loans.groupBy(key).agg(*_measures(loans)), key)
 
 
 class Facets:
@@ -123,7 +119,7 @@ class Facets:
         fact = loans.withColumn(SECTOR, sector_of(F.col(INDUSTRY)))
         self.table = (
             fact.groupingSets(list(self._SETS.values()), *self._KEYS)
-            .agg(F.grouping_id().alias("grouping"), *_measures())
+            .agg(F.grouping_id().alias("grouping"), *_measures(fact))
             .persist()
         )
 
@@ -139,23 +135,18 @@ class Facets:
         rows = self.rows(key)
         if key is None:
             # No loan at all gives no row here, where an aggregate gives one.
-            return _named(rows.agg(*_whole()))
+            return _finished(rows.agg(*_added_up(rows)))
         if key in _NEEDS_KEY:
             rows = filters.known(rows, key)
         if key == INDUSTRY:
-            return _named(_one_row_per_industry(rows), INDUSTRY, "naics_description")
-        return _named(rows, key)
+            return _finished(_one_row_per_industry(rows), INDUSTRY, "naics_description")
+        return _finished(rows, key)
 
     def release(self) -> None:
         """Give the memory back."""
         self.table.unpersist()
 
 
-def _whole() -> tuple[Column, ...]:
-    counts = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _COUNTS]
-    return (*counts, *[F.sum(name).alias(name) for name in _SUMS])
-
-
 # Views over all loans.
 
 

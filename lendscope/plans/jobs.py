@@ -68,7 +68,7 @@ def clean_job(
     raw = csv_files.read_raw(spark, files, line_breaks=line_breaks)
     sinks.save_clean(cleaning.clean(raw), output)
     cleaned = sinks.read_clean(spark, output)
-    texts = raw.transform(cleaning.trim_text).transform(cleaning.blank_to_null)
+    texts = raw.transform(cleaning.trim_text).transform(cleaning.empty_to_null)
     return CleanResult(
         path=output,
         cleaned=cleaned,
