@@ -19,6 +19,7 @@ from checks.measure_queries import (
     over_loans,
 )
 from checks.results import plain
+from lendscope.functions import cells
 from lendscope.model import DATE_COLUMNS, LOAN_COLUMNS, LOAN_TYPES, ROW_KEY
 from lendscope.operators import adhoc, cleaning, conform, measures, naming, profiling, sinks, views
 from lendscope.operators.filters import LoanFilter
@@ -146,7 +147,7 @@ def _missing_sql(column: str) -> str:
     A single space is an NA token of the cleaning scan only.
     """
     if column == "borrower_name":
-        return "0"
+        return "0 * COUNT(*)"
     known = "loan_amount IS NOT NULL OR mod(loan_id, 71) = 0" if column == "loan_amount" else ""
     known = known or f"{column} IS NOT NULL"
     return f"COUNT(CASE WHEN NOT ({known}) AND mod(loan_id, 6) NOT IN (1, 5) THEN 1 END)"
@@ -493,7 +494,7 @@ def queries() -> dict[str, Query]:
         ),
         "a5_source_file": (
             lambda spark, sf_dir: csv_files.read_raw(spark, _files(spark, sf_dir))
-            .groupBy(F.trim(F.regexp_replace("program", r"\s", "")).alias("program"))
+            .groupBy(cells.strip(F.col("program")).alias("program"))
             .agg(
                 F.count("source_file").alias("rows_with_file"),
                 F.bool_and(F.endswith("source_file", F.lit(".csv"))).alias("is_file_name"),

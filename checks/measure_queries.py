@@ -285,7 +285,7 @@ def queries() -> dict[str, Query]:
         lambda fact: ranking.chart_order(
             measures.state_funding(fact).limit(10), "total_funding", "borrower_state"
         ),
-        f"SELECT * FROM ({leading} LIMIT 10) AS leading ORDER BY total_funding",
+        f"SELECT * FROM ({leading} LIMIT 10) AS ahead ORDER BY total_funding",
     )
     found["e6_top_state"] = _of_loans(
         ("borrower_state", "loan_amount"),
@@ -422,7 +422,7 @@ def _stats_sql() -> str:
     def line(c: str) -> str:
         number = f"CAST({c} AS DOUBLE)"
         parts = ", ".join(
-            f"round_even(quantile_cont({number}, {q}), 2) AS p{round(q * 100)}"
+            f"round_even(round_even(quantile_cont({number}, {q}), 6), 2) AS p{round(q * 100)}"
             for q in profiling.QUARTILES
         )
         return (

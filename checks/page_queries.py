@@ -43,7 +43,7 @@ queries AS (SELECT event_id, trim(rtrim(trim(text, chr(32)||chr(10)), ';'), chr(
             AS query FROM log),
 named AS (SELECT *, list_sort(list_distinct(regexp_extract_all(lower(query),
             '\\b(?:from|join)\\s+([a-z_][a-z0-9_]*)', 1))) AS names FROM queries),
-others AS (SELECT *, list_sort(list_filter(names, n -> NOT list_contains({_ALLOWED_SQL}, n)))
+others AS (SELECT *, list_sort(list_filter(names, lambda n: NOT list_contains({_ALLOWED_SQL}, n)))
             AS other_names FROM named)
 SELECT event_id, query, array_to_string(names, ',') AS relations,
   array_to_string(other_names, ',') AS disallowed,
@@ -149,13 +149,13 @@ def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PREVIEW_SQL = over_loans(
     f"""
 , states AS ({_STATES}),
-leading AS (SELECT *, row_number() OVER (ORDER BY total_loans DESC, borrower_state) AS place
+ahead AS (SELECT *, row_number() OVER (ORDER BY total_loans DESC, borrower_state) AS place
             FROM states)
 SELECT (SELECT COUNT(*) FROM states) AS row_count, 2 AS column_count,
   concat('Returned ', (SELECT COUNT(*) FROM states), ' row(s). Top rows: [',
     string_agg(concat('{{''borrower_state'': ''', borrower_state, ''', ''total_loans'': ',
                total_loans, '}}'), ', ' ORDER BY place), ']') AS summary
-FROM leading WHERE place <= 3
+FROM ahead WHERE place <= 3
 """
 ).replace(") \n,", "),\n", 1)
 

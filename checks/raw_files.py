@@ -67,6 +67,10 @@ def _day(day: Column, number: Column) -> Column:
     return F.when(number % 4 == 0, day.cast("string")).otherwise(F.date_format(day, "M/d/yyyy"))
 
 
+# Columns without white space around their cells, so that their types show.
+_TIDY = ("L2LocID", "ApprovalFiscalYear")
+
+
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw rows as text, under the headers of both programs."""
     fact = loans.derive(spark, sf_dir, *_WANTED)
@@ -105,7 +109,10 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     made = fact.select(
         F.explode(copies).alias("copy"),
-        *[_untidy(cell, number).alias(name) for name, cell in cells.items()],
+        *[
+            (cell if name in _TIDY else _untidy(cell, number)).alias(name)
+            for name, cell in cells.items()
+        ],
         F.col("program").alias("folder"),
     )
     return made.drop("copy")

@@ -103,6 +103,7 @@ def numeric_stats(
     approximate percentiles instead, in the same single pass as the rest.
     """
     columns = numeric_columns(df) if columns is None else list(columns)
+    parts = [f"p{round(q * 100)}" for q in QUARTILES]
 
     def line(name: str) -> Column:
         value = F.col(name).cast("double")
@@ -121,20 +122,16 @@ def numeric_stats(
         ]
         if not exact:
             near = F.percentile_approx(value, list(QUARTILES), 10_000)
-            fields += [
-                F.bround(near[i], 2).alias(f"p{round(q * 100)}") for i, q in enumerate(QUARTILES)
-            ]
+            fields += [F.bround(near[i], 2).alias(p) for i, p in enumerate(parts)]
         return F.struct(*fields)
 
     stats = _lines(df, columns, line)
     if exact:
-        rounded = {
-            f"p{round(q * 100)}": F.bround(f"p{round(q * 100)}", 2) for q in QUARTILES
-        }
+        # Six places first: that takes off the noise of interpolating in binary.
+        rounded = {p: F.bround(F.bround(p, 6), 2) for p in parts}
         stats = stats.join(
             quantiles(df, columns, QUARTILES).withColumns(rounded), "column_name", "left"
         )
-    parts = [f"p{round(q * 100)}" for q in QUARTILES]
     return stats.select("column_name", "count", "mean", "std", "min", *parts, "max")
 
 
