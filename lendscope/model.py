@@ -72,6 +72,9 @@ LOAN_TYPES: dict[str, T.DataType] = {
 LOAN_COLUMNS = list(LOAN_TYPES)
 LOAN_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in LOAN_TYPES.items()])
 ROW_KEY = "loan_row_id"
+SOURCE_FILE = "source_file"
+# Where in its file a raw row is: file path, start of the piece, order in it.
+POSITION = ("source_path", "block_start", "row_order")
 
 DATE_COLUMNS = [c for c, t in LOAN_TYPES.items() if isinstance(t, T.DateType)]
 DECIMAL_COLUMNS = [c for c, t in LOAN_TYPES.items() if isinstance(t, T.DecimalType)]

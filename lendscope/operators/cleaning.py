@@ -20,6 +20,8 @@ from lendscope.model import (
     INTEGER_COLUMNS,
     LENDER_SOURCES,
     LOAN_TYPES,
+    POSITION,
+    SOURCE_FILE,
 )
 
 NUMERIC_COLUMNS = [c for c in LOAN_TYPES if c in {*DECIMAL_COLUMNS, *INTEGER_COLUMNS}]
@@ -31,8 +33,12 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def null_out_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """A4: null for every text cell that is exactly one of ``tokens``."""
-    return df.withColumns({c: cells.null_tokens(F.col(c), tokens) for c in text_columns(df)})
+    """A4: null for every text cell that is exactly one of ``tokens``.
+
+    What says where a row is from is no cell, and stays.
+    """
+    found = [c for c in text_columns(df) if c not in (SOURCE_FILE, *POSITION)]
+    return df.withColumns({c: cells.null_tokens(F.col(c), tokens) for c in found})
 
 
 def trim_text(df: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendscope.model import POSITION, SOURCE_FILE
 from lendscope.session import shared_root
-from lendscope.sources.csv_files import POSITION, SOURCE_FILE, fits_double, fits_long, kind_of
+from lendscope.sources.csv_files import kind_of
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -57,16 +58,12 @@ def schema_report(raw: DataFrame) -> DataFrame:
     columns = [c for c in raw.columns if c not in (SOURCE_FILE, *POSITION)]
 
     def line(position: int, name: str) -> Column:
-        cell = F.col(name)
-        kind = kind_of(
-            F.count(cell), F.count_if(fits_long(cell)), F.count_if(fits_double(cell))
-        )
         return F.struct(
             F.count(F.lit(1)).alias("row_count"),
             F.lit(len(columns)).alias("column_count"),
             F.lit(position).alias("column_position"),
             F.lit(name).alias("column_name"),
-            kind.alias("dtype"),
+            kind_of(F.col(name)).alias("dtype"),
             _missing(name).alias("missing_values"),
         )
 

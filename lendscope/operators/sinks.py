@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscope.model import INSERT_BATCH_ROWS, LOAN_SCHEMA, PREVIEW_ROWS, ROW_KEY
+from lendscope.model import (
+    INSERT_BATCH_ROWS,
+    LOAN_SCHEMA,
+    POSITION,
+    PREVIEW_ROWS,
+    ROW_KEY,
+    SOURCE_FILE,
+)
 from lendscope.operators.conform import conform
-from lendscope.sources.csv_files import POSITION, SOURCE_FILE
 
 YEAR, STATE, INDUSTRY = "approval_fiscal_year", "borrower_state", "naics_code"
 TABLE_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType()), *LOAN_SCHEMA.fields])

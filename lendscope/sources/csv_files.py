@@ -23,13 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.functions import cells
-from lendscope.model import CLEANING_NA_TOKENS, NA_TOKENS
+from lendscope.model import CLEANING_NA_TOKENS, NA_TOKENS, POSITION, SOURCE_FILE
 from lendscope.operators.cleaning import null_out_tokens
 from lendscope.operators.naming import canonical_names
 from lendscope.sources.discover import SourceFile
 
-SOURCE_FILE = "source_file"
-POSITION = ("source_path", "block_start", "row_order")
 _SURPLUS = "surplus_cell"
 _HEADER_READERS = 16
 
@@ -162,29 +160,30 @@ def read_raw(
     return union_by_name([null_out_tokens(frame, tokens) for frame in frames])
 
 
-def fits_long(cell: Column) -> Column:
-    """The text is a whole number of 64 bits."""
-    return cell.try_cast("bigint").isNotNull()
-
-
+_DIGITS = r"^\s*[-+]?\d+\s*$"
 _NUMBER = r"(?i)^\s*[-+]?(\d+\.?\d*(e[-+]?\d+)?|\.\d+(e[-+]?\d+)?|inf|infinity)\s*$"
 
 
-def fits_double(cell: Column) -> Column:
-    """The text is a number.
+def kind_code(cell: Column) -> Column:
+    """A3: 1 for a whole number of 64 bits, 2 for another number, 3 for other text.
 
-    A cast would take ``5D`` for one, and is slow where most cells are words.
+    The form of the text is tested before the cast: a cast that fails is slow,
+    and one to double would take ``5D`` for a number.
     """
-    return cell.rlike(_NUMBER)
+    whole = F.when(cell.rlike(_DIGITS), cell.try_cast("bigint")).isNotNull()
+    return F.when(whole, 1).when(cell.rlike(_NUMBER), 2).when(cell.isNotNull(), 3)
+
 
+def kind_of(cell: Column) -> Column:
+    """A3: the narrowest type that all values of a column have, as an aggregate.
 
-def kind_of(values: Column, longs: Column, doubles: Column) -> Column:
-    """A3: type of a column, from how many of its values fit each number type."""
+    A column without any value is a double.
+    """
+    widest = F.max(kind_code(cell))
     return (
-        F.when(values == 0, F.lit("double"))
-        .when(values == longs, F.lit("bigint"))
-        .when(values == doubles, F.lit("double"))
-        .otherwise(F.lit("string"))
+        F.when(widest == 1, F.lit("bigint"))
+        .when(widest == 3, F.lit("string"))
+        .otherwise(F.lit("double"))
     )
 
 
@@ -197,12 +196,5 @@ def read_typed(
     """
     raw = read_raw(spark, files, NA_TOKENS, line_breaks)
     texts = [c for c in raw.columns if c != SOURCE_FILE]
-    kinds = raw.agg(
-        *[
-            kind_of(
-                F.count(c), F.count_if(fits_long(F.col(c))), F.count_if(fits_double(F.col(c)))
-            ).alias(c)
-            for c in texts
-        ]
-    ).first()
+    kinds = raw.agg(*[kind_of(F.col(c)).alias(c) for c in texts]).first()
     return raw.select(*[F.col(c).try_cast(kinds[c]).alias(c) for c in texts], SOURCE_FILE)
