@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.model import POSITION, SOURCE_FILE
-from lendscope.session import shared_root
+from lendscope.session import scratch_path
 from lendscope.sources.csv_files import kind_of
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -140,10 +140,11 @@ def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float])
     tasks, and running totals of the tasks' counts say which tasks hold a wanted
     rank; only inside those is a running total of single values made.
 
-    The sorted values are checkpointed: two later steps must see the same cut
-    into tasks, also when an executor is lost.
+    The sorted values are written to the shared folder, one folder per task:
+    two later steps must see the same cut, also when an executor is lost, and the
+    second reads only the folders it needs.
     """
-    shared_root(df.sparkSession)
+    spark = df.sparkSession
     line = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
         for c in columns
@@ -154,11 +155,14 @@ def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float])
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ordered = (
+    path = scratch_path(spark, "sorted-values")
+    (
         counted.repartitionByRange("column_name", "value")
         .withColumn("part", F.spark_partition_id())
-        .checkpoint()
+        .write.partitionBy("part")
+        .parquet(path)
     )
+    ordered = spark.read.schema("column_name string, value double, n long, part int").parquet(path)
 
     in_order = Window.partitionBy("column_name").orderBy("part")
     parts = (
@@ -170,37 +174,48 @@ def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float])
     # A fraction falls between the values of two ranks, counted from 0.
     spots = F.array(*[F.struct(F.lit(f).alias("fraction")) for f in fractions])
     place = F.col("fraction") * (F.col("total") - 1)
-    wanted = parts.select("*", F.inline(spots)).select(
-        "column_name",
-        "part",
-        "fraction",
-        (F.col("through") - F.col("held")).alias("before"),
-        "through",
-        F.floor(place).alias("low"),
-        F.ceil(place).alias("high"),
+    ranked = parts.select(
+        "column_name", "part", (F.col("through") - F.col("held")).alias("before"), "through",
+        "total", F.inline(spots),
+    ).select(
+        "column_name", "part", "before", "through", "fraction",
+        F.floor(place).alias("low"), F.ceil(place).alias("high"),
         (place - F.floor(place)).alias("weight"),
+    )
+
+    def within(rank: Column, start: Column, end: Column) -> Column:
+        return (rank >= start) & (rank < end)
+
+    held = [within(F.col(r), F.col("before"), F.col("through")) for r in ("low", "high")]
+    wanted = (
+        ranked.where(held[0] | held[1])
+        .groupBy("column_name", "part", "before")
+        .agg(F.collect_list(F.struct("fraction", "low", "high", "weight")).alias("spots"))
     )
-    holds_low = (F.col("low") >= F.col("before")) & (F.col("low") < F.col("through"))
-    holds_high = (F.col("high") >= F.col("before")) & (F.col("high") < F.col("through"))
-    wanted = wanted.where(holds_low | holds_high).drop("through")
 
     by_value = Window.partitionBy("column_name", "part").orderBy("value")
-    needed = wanted.select("column_name", "part").distinct()
-    running = ordered.join(needed, ["column_name", "part"]).withColumn(
-        "so_far", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    until = F.col("before") + F.col("so_far")
+    so_far = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
+    end = F.col("before") + F.col("so_far")
+    start = end - F.col("n")
 
-    def value_at(rank: str) -> Column:
-        here = (F.col(rank) < until) & (F.col(rank) >= until - F.col("n"))
-        return F.max(F.when(here, F.col("value"))).alias(f"{rank}_value")
+    def here(spot: Column) -> Column:
+        return within(spot["low"], start, end) | within(spot["high"], start, end)
 
     found = (
-        running.join(wanted, ["column_name", "part"])
+        # At most two rows per column and fraction, so safe to broadcast.
+        ordered.join(F.broadcast(wanted), ["column_name", "part"])
+        .withColumn("so_far", so_far)
+        .select("column_name", "value", start.alias("start"), end.alias("end"),
+                F.inline(F.filter("spots", here)))
         .groupBy("column_name", "fraction", "weight")
-        .agg(value_at("low"), value_at("high"))
-    )
-    value = F.col("low_value") + (F.col("high_value") - F.col("low_value")) * F.col("weight")
+        .agg(
+            *[
+                F.max(F.when(within(F.col(r), F.col("start"), F.col("end")), F.col("value"))).alias(r)
+                for r in ("low", "high")
+            ]
+        )
+    )
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
     return found.groupBy("column_name").agg(
         *[
             F.max(F.when(F.col("fraction") == f, value)).alias(f"p{round(f * 100)}")

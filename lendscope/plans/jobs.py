@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendscope.model import NA_TOKENS, PREVIEW_ROWS
 from lendscope.operators import cleaning, conform, profiling, sinks, views
+from lendscope.session import sized_shuffles
 from lendscope.sources import csv_files
-from lendscope.sources.discover import discover, require
+from lendscope.sources.discover import discover, list_files, require
 
 Candidates = Sequence[str | Sequence[str]]
 
@@ -35,9 +36,7 @@ def profile_job(
     for layout in csv_files.layouts(spark, files, line_breaks):
         raw = csv_files.scan(spark, layout, layout.headers, position=True)
         sinks.save_preview(raw, preview_folder, preview_rows)
-        reports.append(
-            profiling.schema_report(cleaning.null_out_tokens(raw, NA_TOKENS))
-        )
+        reports.append(profiling.schema_report(cleaning.null_out_tokens(raw, NA_TOKENS)))
     return csv_files.union_by_name(reports)
 
 
@@ -66,7 +65,8 @@ def clean_job(
     """
     files = require(discover(spark, candidates), candidates)
     raw = csv_files.read_raw(spark, files, line_breaks=line_breaks)
-    sinks.save_clean(cleaning.clean(raw), output)
+    with sized_shuffles(spark, sum(f.length for f in files)):
+        sinks.save_clean(cleaning.clean(raw), output)
     cleaned = sinks.read_clean(spark, output)
     texts = raw.transform(cleaning.trim_text).transform(cleaning.empty_to_null)
     return CleanResult(
@@ -88,10 +88,16 @@ class LoadResult:
     columns: DataFrame
 
 
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a stored dataset.  Parquet opens to several times its size."""
+    return 4 * sum(f.length for f in list_files(spark, path, "*"))
+
+
 def load_job(spark: SparkSession, clean_path: str, table: str, form: str = "parquet") -> LoadResult:
     """H3: replace the catalog table with the rows of a cleaned dataset."""
     cleaned = sinks.read_clean(spark, clean_path, form)
-    sinks.write_table(cleaned, table)
+    with sized_shuffles(spark, _stored_bytes(spark, clean_path)):
+        sinks.write_table(cleaned, table)
     loans = spark.table(table)
     return LoadResult(loans, sinks.load_report(loans), conform.conform_report(cleaned))
 
@@ -101,7 +107,8 @@ def load_files_job(
 ) -> LoadResult:
     """H3 without a catalog: the table as files under a new path."""
     cleaned = sinks.read_clean(spark, clean_path, form)
-    sinks.write_table_files(cleaned, table_path)
+    with sized_shuffles(spark, _stored_bytes(spark, clean_path)):
+        sinks.write_table_files(cleaned, table_path)
     stored = spark.read.schema(sinks.TABLE_SCHEMA).parquet(table_path)
     return LoadResult(
         sinks.read_table_files(spark, table_path),

@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 128 << 20
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Settings this library likes; apply with ``configure`` before the session starts.
@@ -29,6 +32,22 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
+    """Let shuffles of ``size`` bytes start with enough partitions to fit in memory.
+
+    Never fewer than the session asks for.  Adaptive execution joins partitions
+    that turn out small, so too many cost little and too few would spill.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(max(int(before), -(-size // PARTITION_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

@@ -17,15 +17,15 @@ class SourceFile:
     length: int
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[SourceFile]:
-    """The CSV files a path, folder or glob stands for, sorted; none if nothing matches.
+def list_files(spark: SparkSession, pattern: str, names: str = "*.csv") -> list[SourceFile]:
+    """The files a path, folder or glob stands for, sorted; none if nothing matches.
 
     Listing through a DataFrame reads no file content and works on every file
     system Spark knows.
     """
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", names)
         .option("recursiveFileLookup", "true")
     )
     try:

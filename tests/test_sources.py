@@ -11,7 +11,7 @@ from lendscope.model import LOAN_COLUMNS, NA_TOKENS
 from lendscope.operators import cleaning, conform, profiling, sinks
 from lendscope.operators.naming import HeaderCollision
 from lendscope.plans import jobs
-from lendscope.session import scratch_path
+from lendscope.session import scratch_path, sized_shuffles
 from lendscope.sources import csv_files
 from lendscope.sources.discover import discover, require
 from lendscope.streaming.chunked_load import load_in_chunks
@@ -260,3 +260,13 @@ def test_preview_is_the_head_of_every_file(spark, tmp_path):
 
 def test_jobs_use_the_named_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_shuffles_follow_the_size_of_the_input(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    with sized_shuffles(spark, 100 * 1024**4):
+        assert spark.conf.get(setting) == "819200"
+    with sized_shuffles(spark, 1):
+        assert spark.conf.get(setting) == before
+    assert spark.conf.get(setting) == before
