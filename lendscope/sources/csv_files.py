@@ -3,10 +3,11 @@
 Spark matches CSV columns by position, so files are grouped by their header row
 and each group is read on its own; the groups are then joined by column name.
 
-A cell may hold a line break inside quotes.  Such a file cannot be cut into
-pieces, so one task must read it.  Files that fit one piece anyway are read that
-way at no cost.  A larger file is first checked for a line with an odd number of
-quotes: without one no cell spans lines, and the file is cut safely.
+A cell may hold a line break inside quotes, and then Spark's CSV reader must read
+the whole file in one task.  Files that fit one piece anyway are read that way at
+no cost.  A larger file is first checked for a line with an odd number of quotes:
+without one no cell spans lines, and the file is cut safely.  With one, the file
+is read as lines, in pieces, and the lines of each row are joined (``spanning``).
 """
 
 from __future__ import annotations
@@ -26,18 +27,24 @@ from lendscope.functions import cells
 from lendscope.model import CLEANING_NA_TOKENS, NA_TOKENS, POSITION, SOURCE_FILE
 from lendscope.operators.cleaning import null_out_tokens
 from lendscope.operators.naming import canonical_names
+from lendscope.sources import spanning
 from lendscope.sources.discover import SourceFile
 
 _SURPLUS = "surplus_cell"
 _HEADER_READERS = 16
 
 
+# Ways of reading a file.
+WHOLE, CUT, JOINED = "whole", "cut", "joined"
+_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Files that share a header row and a way of being read."""
 
     headers: tuple[str, ...]
-    whole_files: bool
+    way: str
     paths: tuple[str, ...]
 
 
@@ -59,8 +66,7 @@ def _one_line_per_row(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     """Of these files, those where no cell can span lines."""
     if not paths:
         return set()
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = F.bool_or(quotes % 2 == 1).alias("odd")
+    odd = F.bool_or(spanning.quotes_in("value") % 2 == 1).alias("odd")
     lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
     return {r.path for r in lines.groupBy("path").agg(odd).where("not odd").select("path").collect()}
 
@@ -83,24 +89,29 @@ def layouts(
     """The files grouped by header row and way of reading.
 
     ``line_breaks`` says whether cells may hold them: ``check`` looks, as above;
-    ``none`` promises there are none; ``any`` reads every file in one piece.
+    ``none`` promises there are none; ``any`` takes it that there are; ``whole``
+    has one task read each file, for files with stray quotes in them.
     """
-    if line_breaks not in ("check", "none", "any"):
+    if line_breaks not in ("check", "none", "any", "whole"):
         raise ValueError(f"unknown line_breaks: {line_breaks}")
     piece = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    cut = {f.path for f in files} if line_breaks == "none" else set()
+    large = [f.path for f in files if f.length > piece]
+    way = {f.path: WHOLE for f in files}
+    if line_breaks == "none":
+        way = dict.fromkeys(way, CUT)
+    elif line_breaks != "whole":
+        way.update(dict.fromkeys(large, JOINED))
     if line_breaks == "check":
-        large = [f.path for f in files if f.length > piece]
         safe = {_same_file(p) for p in _one_line_per_row(spark, large)}
-        cut = {p for p in large if _same_file(p) in safe}
+        way.update({p: CUT for p in large if _same_file(p) in safe})
 
     with ThreadPoolExecutor(_HEADER_READERS) as readers:
         headers = readers.map(lambda f: read_header(spark, f.path), files)
         grouped: dict[tuple, list[str]] = defaultdict(list)
         for file, header in zip(files, headers):
             if header:
-                grouped[(header, file.path not in cut)].append(file.path)
-    return [Layout(header, whole, tuple(paths)) for (header, whole), paths in grouped.items()]
+                grouped[(header, way[file.path])].append(file.path)
+    return [Layout(header, how, tuple(paths)) for (header, how), paths in grouped.items()]
 
 
 def scan(
@@ -115,23 +126,29 @@ def scan(
     """
     fields = [f"cell_{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, _SURPLUS]])
-    rows = (
-        spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=layout.whole_files)
-        .csv(list(layout.paths))
-    )
-    surplus = F.concat(F.lit("row with more cells than its header in "), "_metadata.file_path")
+    if layout.way == JOINED:
+        records = spanning.records(spark, layout.paths)
+        cells_of = F.from_csv("record", F.lit(schema.toDDL()), _OPTIONS)
+        rows = records.withColumn("row", cells_of).select(SOURCE_FILE, *POSITION, "row.*")
+    else:
+        rows = (
+            spark.read.schema(schema)
+            .options(header=True, multiLine=layout.way == WHOLE, **_OPTIONS)
+            .csv(list(layout.paths))
+            .select(
+                F.col("_metadata.file_name").alias(SOURCE_FILE),
+                F.col("_metadata.file_path").alias(POSITION[0]),
+                F.col("_metadata.file_block_start").alias(POSITION[1]),
+                F.monotonically_increasing_id().alias(POSITION[2]),
+                *schema.names,
+            )
+        )
+    surplus = F.concat(F.lit("row with more cells than its header in "), POSITION[0])
     fits = F.when(F.col(_SURPLUS).isNull(), True).otherwise(
         F.raise_error(surplus).cast("boolean")
     )
     kept = [F.col(c).alias(n) for c, n in zip(fields, names) if n != SOURCE_FILE]
-    kept.append(F.col("_metadata.file_name").alias(SOURCE_FILE))
-    if position:
-        kept += [
-            F.col("_metadata.file_path").alias(POSITION[0]),
-            F.col("_metadata.file_block_start").alias(POSITION[1]),
-            F.monotonically_increasing_id().alias(POSITION[2]),
-        ]
+    kept += [SOURCE_FILE, *(POSITION if position else ())]
     return rows.where(fits).select(*kept)
 
 

@@ -76,7 +76,7 @@ def test_first_candidate_with_files_wins(spark, folder, tmp_path):
         csv_files.union_by_name([])
 
 
-@pytest.mark.parametrize("line_breaks", ["check", "any"])
+@pytest.mark.parametrize("line_breaks", ["check", "any", "whole"])
 @pytest.mark.parametrize("piece", ["128MB", "256b"])
 def test_clean_job(spark, folder, tmp_path, line_breaks, piece):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -227,7 +227,7 @@ def test_large_files_are_cut_only_without_spanning_cells(spark, tmp_path):
     try:
         files = discover(spark, [str(tmp_path)])
         found = {
-            lay.paths[0].rsplit("/", 1)[1]: lay.whole_files
+            lay.paths[0].rsplit("/", 1)[1]: lay.way
             for lay in csv_files.layouts(spark, files)
         }
         raw = csv_files.read_raw(spark, files)
@@ -236,7 +236,7 @@ def test_large_files_are_cut_only_without_spanning_cells(spark, tmp_path):
         assert raw.where("text = 'two\nlines'").count() == 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert found == {"cut.csv": False, "whole.csv": True}
+    assert found == {"cut.csv": "cut", "whole.csv": "joined"}
 
 
 def test_preview_is_the_head_of_every_file(spark, tmp_path):
@@ -270,3 +270,57 @@ def test_shuffles_follow_the_size_of_the_input(spark):
     with sized_shuffles(spark, 1):
         assert spark.conf.get(setting) == before
     assert spark.conf.get(setting) == before
+
+
+@pytest.mark.parametrize(("end", "piece"), [("\n", "200b"), ("\r\n", "200b"), ("\n", "2k")])
+def test_rows_that_span_pieces(spark, tmp_path, end, piece):
+    """Cells with line breaks, some longer than a piece, come back whole and in place."""
+    texts = [
+        "" if i % 7 == 3 else f"row {i}" + "".join(f'{end}line "{j}", of {i}' for j in range(i % 5))
+        for i in range(120)
+    ]
+    texts[100] = end.join("long" * 30 for _ in range(5))
+    rows = ['{},"{}",z'.format(i, t.replace('"', '""')) for i, t in enumerate(texts)]
+    rows.insert(50, "")
+    for name in ("a.csv", "b.csv"):
+        write(tmp_path / "raw", name, f'id,"te{end}xt",last', rows, end)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        files = discover(spark, [str(tmp_path / "raw")])
+        (layout,) = csv_files.layouts(spark, files)
+        assert layout.way == "joined"
+        raw = csv_files.scan(spark, layout, ["id", "text", "last"], position=True)
+        found = raw.orderBy("source_path", "block_start", "row_order").collect()
+        (whole,) = csv_files.layouts(spark, files, "whole")
+        same = csv_files.scan(spark, whole, ["id", "text", "last"]).collect()
+        kept = sinks.first_rows(raw, 20).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    expected = [(str(i), t.replace("\r\n", "\n") or "", "z") for i, t in enumerate(texts)]
+    assert [(r.id, r.text or "", r.last) for r in found] == expected * 2
+    assert sorted((r.id, r.text or "", r.source_file) for r in same) == sorted(
+        (r.id, r.text or "", r.source_file) for r in found
+    )
+    assert {(r.source_file, r.id) for r in kept} == {
+        (name, str(i)) for name in ("a.csv", "b.csv") for i in range(20)
+    }
+
+
+def test_a_stray_quote_fails_rather_than_misleads(spark, tmp_path):
+    rows = [f"{i},plain" for i in range(500)]
+    rows[100], rows[300] = '100,5" pipe', '300,"two\nlines"'
+    write(tmp_path, "t.csv", "id,text", rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        files = discover(spark, [str(tmp_path)])
+        with pytest.raises(Exception, match="stray quote"):
+            csv_files.read_raw(spark, files).collect()
+        whole = csv_files.read_raw(spark, files, line_breaks="whole")
+        assert whole.count() == 500
+        assert whole.where("id = 100").first().text == '5" pipe'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
