@@ -101,63 +101,73 @@ def _read_sql(column: str) -> str:
 
 
 def _typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 7A files with inferred types: type and number of values per column."""
-    files = [f for f in _files(spark, sf_dir) if "program_7A" in f.path]
-    return profiling.column_profile(csv_files.read_typed(spark, files).drop("source_file"))
-
-
-# Type each column gets: one with a word, sign or three spaces in it stays text.
-_TYPED = {
-    "as_of_date": "string",
-    "program": "string",
-    "loan_id": "bigint",
-    "borrower_name": "string",
-    "borrower_state": "string",
-    "lender_name": "string",
-    "loan_amount": "string",
-    "approval_date": "string",
-    "approval_fiscal_year": "double",
-    "naics_code": "string",
-    "naics_description": "string",
-    "loan_status": "string",
-    "charge_off_amount": "string",
-    "jobs_supported": "string",
-}
-_RAW_HEADERS = {
-    "as_of_date": "AsOfDate",
-    "program": "Program",
-    "loan_id": "L2LocID",
-    "borrower_name": "BorrName",
-    "borrower_state": "BorrState",
-    "lender_name": "BankName",
-    "loan_amount": "GrossApproval",
-    "approval_date": "ApprovalDate",
-    "approval_fiscal_year": "ApprovalFiscalYear",
-    "naics_code": "NAICSCode",
-    "naics_description": "NAICSDescription",
-    "loan_status": "LoanStatus",
-    "charge_off_amount": "GrossChargeOffAmount",
-    "jobs_supported": "JobsSupported",
+    """All files with inferred types: type and missing values per column."""
+    typed = csv_files.read_typed(spark, _files(spark, sf_dir))
+    return profiling.column_profile(typed.drop("source_file"))
+
+
+# Raw header and type of each column, by program.  A column with a word, a sign or
+# three spaces in it stays text.
+_HEADERS = {
+    "7A": {
+        "as_of_date": "AsOfDate",
+        "program": "Program",
+        "loan_id": "L2LocID",
+        "borrower_name": "BorrName",
+        "borrower_state": "BorrState",
+        "lender_name": "BankName",
+        "loan_amount": "GrossApproval",
+        "approval_date": "ApprovalDate",
+        "approval_fiscal_year": "ApprovalFiscalYear",
+        "naics_code": "NAICSCode",
+        "naics_description": "NAICSDescription",
+        "loan_status": "LoanStatus",
+        "charge_off_amount": "GrossChargeOffAmount",
+        "jobs_supported": "JobsSupported",
+    },
+    "504": {
+        "as_of_date": "AsOfDate",
+        "program": "Program",
+        "loan_id": "L2LocID",
+        "borrower_name": "BorrName",
+        "borrower_state": "BORRSTATE",
+        "lender_name": "BankName",
+        "third_party_lender_name": "ThirdPartyLender_Name",
+        "cdc_name": "CDC_Name",
+        "loan_amount": "Gross Approval",
+        "approval_date": "ApprovalDate",
+        "approval_fiscal_year": "ApprovalFiscalYear",
+        "naics_code": "NAICSCode",
+        "naics_description": "NAICSDescription",
+        "loan_status": "LoanStatus",
+        "charge_off_amount": "GrossChargeOffAmount",
+        "jobs_supported": "JobsSupported",
+    },
 }
+_TYPED = {"loan_id": "bigint", "approval_fiscal_year": "double"}
 
 
 def _missing_sql(column: str) -> str:
-    """How many cells of a raw column read as null, in raw text; 0 for one made full.
+    """How many cells of a raw column read as null, in raw text; none for one made full.
 
     A single space is an NA token of the cleaning scan only.
     """
     if column == "borrower_name":
         return "0 * COUNT(*)"
-    known = "loan_amount IS NOT NULL OR mod(loan_id, 71) = 0" if column == "loan_amount" else ""
-    known = known or f"{column} IS NOT NULL"
-    return f"COUNT(CASE WHEN NOT ({known}) AND mod(loan_id, 6) NOT IN (1, 5) THEN 1 END)"
+    known = f"{column} IS NOT NULL"
+    if column == "loan_amount":
+        known += " OR mod(loan_id, 71) = 0"
+    missing = f"NOT ({known}) AND mod(loan_id, 6) NOT IN (1, 5)"
+    if column not in _HEADERS["7A"]:
+        missing = f"program = '7A' OR ({missing})"
+    return f"COUNT(CASE WHEN {missing} THEN 1 END)"
 
 
 def _typed_sql() -> str:
     lines = [
-        f"SELECT '{c}' AS column_name, '{kind}' AS dtype, {_missing_sql(c)} AS missing_values "
-        "FROM raw WHERE program = '7A'"
-        for c, kind in _TYPED.items()
+        f"SELECT '{c}' AS column_name, '{_TYPED.get(c, 'string')}' AS dtype, "
+        f"{_missing_sql(c)} AS missing_values FROM raw"
+        for c in _HEADERS["504"]
     ]
     return _RAW + " UNION ALL ".join(lines)
 
@@ -167,21 +177,18 @@ def _profile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, candidates(spark, sf_dir), scratch_path(spark, "preview"), 1000
     )
     program = F.regexp_extract("source_path", r"program_(\w+)/", 1).alias("program")
-    return (
-        report.where(F.col("source_path").contains("program_7A"))
-        .groupBy(program, "column_count", "column_position", "column_name", "dtype")
-        .agg(
-            F.sum("row_count").alias("row_count"), F.sum("missing_values").alias("missing_values")
-        )
-    )
+    return report.groupBy(
+        program, "column_count", "column_position", "column_name", "dtype"
+    ).agg(F.sum("row_count").alias("row_count"), F.sum("missing_values").alias("missing_values"))
 
 
 def _profile_sql() -> str:
     lines = [
-        f"SELECT '7A' AS program, {len(_TYPED)} AS column_count, {i} AS column_position, "
-        f"'{_RAW_HEADERS[c]}' AS column_name, '{kind}' AS dtype, COUNT(*) AS row_count, "
-        f"{_missing_sql(c)} AS missing_values FROM raw WHERE program = '7A'"
-        for i, (c, kind) in enumerate(_TYPED.items())
+        f"SELECT '{program}' AS program, {len(headers)} AS column_count, {i} AS column_position, "
+        f"'{header}' AS column_name, '{_TYPED.get(c, 'string')}' AS dtype, COUNT(*) AS row_count, "
+        f"{_missing_sql(c)} AS missing_values FROM raw WHERE program = '{program}'"
+        for program, headers in _HEADERS.items()
+        for i, (c, header) in enumerate(headers.items())
     ]
     return _RAW + " UNION ALL ".join(lines)
 

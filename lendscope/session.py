@@ -12,6 +12,9 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 128 << 20
+# More would cost the driver too much memory for where each map output lies; the
+# partitions of a larger shuffle grow beyond PARTITION_BYTES and may spill to disk.
+MOST_PARTITIONS = 1 << 15
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Settings this library likes; apply with ``configure`` before the session starts.
@@ -36,12 +39,14 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
     """Let shuffles of ``size`` bytes start with enough partitions to fit in memory.
 
-    Never fewer than the session asks for.  Adaptive execution joins partitions
+    Never fewer than the session asks for, and by itself not above
+    ``MOST_PARTITIONS``.  Adaptive execution joins partitions
     that turn out small, so too many cost little and too few would spill.
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, str(max(int(before), -(-size // PARTITION_BYTES))))
+    wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
+    spark.conf.set(setting, str(max(int(before), wanted)))
     try:
         yield
     finally:

@@ -265,8 +265,10 @@ def test_jobs_use_the_named_shared_folder(spark):
 def test_shuffles_follow_the_size_of_the_input(spark):
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
+    with sized_shuffles(spark, 1024**4):
+        assert spark.conf.get(setting) == "8192"
     with sized_shuffles(spark, 100 * 1024**4):
-        assert spark.conf.get(setting) == "819200"
+        assert spark.conf.get(setting) == "32768"
     with sized_shuffles(spark, 1):
         assert spark.conf.get(setting) == before
     assert spark.conf.get(setting) == before
