@@ -1,0 +1 @@
+"""Cleaning and analysis of public loan extracts on Spark."""

@@ -183,7 +183,6 @@ UNCLASSIFIED = "Other / Unclassified"
 
 # Default thresholds and sizes; each is an argument where used.
 PREVIEW_ROWS = 10_000
-READ_CHUNK_ROWS = 25_000
 INSERT_BATCH_ROWS = 5_000
 MIN_SECTOR_FUNDING = 50_000_000
 MIN_STATE_FUNDING = 25_000_000

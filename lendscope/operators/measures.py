@@ -76,6 +76,11 @@ def _one_row_per_industry(rows: DataFrame) -> DataFrame:
     return rows.groupBy(INDUSTRY).agg(described.alias("naics_description"), *_added_up(rows))
 
 
+def _per_sector(rows: DataFrame) -> DataFrame:
+    sector = sector_of(F.col(INDUSTRY)).alias(SECTOR)
+    return rows.groupBy(sector).agg(*_added_up(rows))
+
+
 def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
     """All measures per value of ``key``, or over all loans.
 
@@ -86,10 +91,12 @@ def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
         return loans.totals(key)
     if key is None:
         return _finished(loans.agg(*_measures(loans)))
-    if key == SECTOR:
-        loans = loans.withColumn(SECTOR, sector_of(F.col(INDUSTRY)))
     if key in _NEEDS_KEY:
         loans = filters.known(loans, key)
+    if key == SECTOR:
+        # The sector depends on two digits; it is looked up once per pair of them.
+        digits = loans.withColumn(INDUSTRY, F.left(INDUSTRY, F.lit(2)))
+        return _finished(_per_sector(digits.groupBy(INDUSTRY).agg(*_measures(loans))), SECTOR)
     if key == INDUSTRY:
         fine = loans.groupBy(INDUSTRY, "naics_description").agg(*_measures(loans))
         return _finished(_one_row_per_industry(fine), INDUSTRY, "naics_description")
@@ -100,30 +107,28 @@ class Facets:
     """Totals for every key from one pass over the loans.
 
     The pass is a single GROUPING SETS aggregate.  Its result has one row per
-    state, industry and description, status, sector, lender and program; it is
-    kept with ``persist``, and can be rebuilt when an executor is lost.
+    state, industry and description, status, lender and program; sectors are added
+    up from industries, and the whole from programs.  It is kept with ``persist``,
+    and can be rebuilt when an executor is lost.
     """
 
     _SETS = {
-        None: (),
         STATE: (STATE,),
         INDUSTRY: (INDUSTRY, "naics_description"),
         STATUS: (STATUS,),
-        SECTOR: (SECTOR,),
         LENDER: (LENDER,),
         PROGRAM: (PROGRAM,),
     }
-    _KEYS = (STATE, INDUSTRY, "naics_description", STATUS, SECTOR, LENDER, PROGRAM)
+    _KEYS = (STATE, INDUSTRY, "naics_description", STATUS, LENDER, PROGRAM)
 
     def __init__(self, loans: DataFrame):
-        fact = loans.withColumn(SECTOR, sector_of(F.col(INDUSTRY)))
         self.table = (
-            fact.groupingSets(list(self._SETS.values()), *self._KEYS)
-            .agg(F.grouping_id().alias("grouping"), *_measures(fact))
+            loans.groupingSets(list(self._SETS.values()), *self._KEYS)
+            .agg(F.grouping_id().alias("grouping"), *_measures(loans))
             .persist()
         )
 
-    def rows(self, key: str | None) -> DataFrame:
+    def rows(self, key: str) -> DataFrame:
         """The rows of one grouping set."""
         kept = self._SETS[key]
         # A bit of the grouping id is 1 where the key is not part of the set.
@@ -132,10 +137,12 @@ class Facets:
 
     def totals(self, key: str | None) -> DataFrame:
         """The totals of one key, as ``totals`` gives them."""
-        rows = self.rows(key)
         if key is None:
-            # No loan at all gives no row here, where an aggregate gives one.
+            rows = self.rows(PROGRAM)
             return _finished(rows.agg(*_added_up(rows)))
+        if key == SECTOR:
+            return _finished(_per_sector(self.rows(INDUSTRY)), SECTOR)
+        rows = self.rows(key)
         if key in _NEEDS_KEY:
             rows = filters.known(rows, key)
         if key == INDUSTRY:
