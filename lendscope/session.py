@@ -56,12 +56,15 @@ def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where the session names none, as in a local test, is one made, and it
-    is removed when the program ends.
+    Where the session names none, one is made for a local session, whose threads
+    all see it, and removed when the program ends; a cluster's session must name
+    one, since a folder of one machine would hide files from the others.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors reach")
         named = tempfile.mkdtemp(prefix="lendscope-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set(CHECKPOINT_SETTING, named)
