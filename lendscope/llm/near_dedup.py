@@ -7,10 +7,12 @@ the lists of its rarest pairs, as many as a partner with that many agreements
 cannot avoid (the prefix); the frequent lists are skipped, and what they would
 have counted is read from the two signatures.
 
-A list never yields all its pairs.  A pivot of the list is compared with all
-others, what links is one component from then on, and later rounds only compare
-members of different components, until few such pairs are left.  So a group of n
-near copies costs about n comparisons, and no link between components is lost.
+A short list yields its pairs.  In a long one a pivot, the member with the most
+company, is compared with all others; what links is one component from then on.
+After that only members of different components are compared, each pair in the
+first list that both are in, and only pairs that agree often enough leave that
+join.  So a group of n near copies costs about n comparisons, and no link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -26,13 +28,15 @@ from pyspark.sql import functions as F
 from lendscope.llm.common import ready, stored
 from lendscope.llm.components import merge
 
-COORDINATES = 32
-#: At a similarity of 0.8 fewer agreements of 32 have a chance of 4 in a million.
-MATCHES = 14
-#: When no more than this many open pairs a posting are left they are compared at once.
-OPEN_PAIRS = 2
+#: Coordinates of a signature, and how many of them, the first ones, have lists.
+COORDINATES, LISTED = 128, 64
+#: Standard deviations that the agreements of a pair at the least similarity may fall
+#: short of their mean: all but about two pairs in a million are found.
+SLACK = 4.75
+#: Lists of more members have a pivot.
+SHORT = 8
+PIVOT_ROUNDS = 2
 _WORDS_KEPT = 400_000
-_LOW = np.uint64(0xFFFFFFFF)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _LONE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -76,12 +80,27 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
 
 
 def _multipliers(coordinates: int) -> np.ndarray:
-    drawn = np.random.default_rng(7).integers(0, 1 << 63, coordinates, dtype=np.uint64)
-    return drawn * np.uint64(2) + np.uint64(1)
+    drawn = np.random.default_rng(7).integers(0, 1 << 31, coordinates, dtype=np.uint32)
+    return drawn * np.uint32(2) + np.uint32(1)
+
+
+def least_matches(coordinates: int, percent: int) -> int:
+    """Agreements of so many coordinates that pairs of that similarity hardly ever miss."""
+    share = percent / 100
+    return max(1, int(coordinates * share - SLACK * (coordinates * share * (1 - share)) ** 0.5))
+
+
+def signature(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Smallest value of each coordinate's order over the hashes."""
+    short = (found >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(factors), ~np.uint32(0))
+    for start in range(0, len(short), 512):
+        np.minimum(least, (short[start : start + 512] * factors[:, None]).min(1), out=least)
+    return least.view(np.int32)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int):
-    factors = _multipliers(coordinates)[:, None]
+    factors = _multipliers(coordinates)
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         sizes, high, low, signatures = [], [], [], []
@@ -94,10 +113,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int)
             if not len(found):
                 signatures.append(None)
                 continue
-            least = np.full(coordinates, ~np.uint64(0))
-            for start in range(0, len(found), 4096):
-                least = np.minimum(least, (found[start : start + 4096] * factors).min(1))
-            signatures.append((least >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            signatures.append(signature(found, factors))
         yield pa.RecordBatch.from_arrays(
             [
                 ids.cast(pa.int64()),
@@ -119,11 +135,14 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int):
         )
 
 
-def _prefixes(nodes: DataFrame, matches: int) -> DataFrame:
-    """(node, post): the lists a node must enter to meet every partner it can have."""
+def _prefixes(nodes: DataFrame, listed: int, matches: int) -> DataFrame:
+    """(node, company, prefix): the lists a node must enter to meet every partner.
+
+    ``company`` counts the postings of all lists the node could be in.
+    """
     posts = nodes.select(
         "node",
-        F.posexplode("signature").alias("coordinate", "value"),
+        F.posexplode(F.slice("signature", 1, listed)).alias("coordinate", "value"),
     ).select(
         "node",
         (F.shiftleft(F.col("coordinate").cast("long"), 32) + F.col("value").cast("long")).alias(
@@ -134,39 +153,61 @@ def _prefixes(nodes: DataFrame, matches: int) -> DataFrame:
     ranked = (
         posts.join(shared, "post")
         .groupBy("node")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
+        .agg(
+            F.sum("n").alias("company"),
+            F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"),
+        )
         .where(F.size("lists") >= matches)
     )
     # Lists of one member come first in the order by length and count as entered.
     return ranked.select(
         "node",
-        F.explode(F.expr(f"slice(lists, 1, size(lists) - {matches - 1})")).alias("list"),
-    ).select("node", F.col("list.post").alias("post"))
+        "company",
+        F.expr(f"transform(slice(lists, 1, size(lists) - {matches - 1}), x -> x.post)").alias(
+            "prefix"
+        ),
+    )
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings with the label of their node, of lists with more than one label."""
+    """Postings with their label, of lists with more than one, and the list's figures."""
     labelled = lists.join(labels, "node")
-    mixed = (
-        labelled.groupBy("post")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
-        .select("post")
+    parts = labelled.groupBy("post", "label").agg(F.count("*").alias("n"))
+    totals = parts.groupBy("post").agg(
+        F.sum("n").alias("members"),
+        F.count("*").alias("labels"),
+        F.max_by("label", F.struct("n", "label")).alias("major"),
     )
-    return labelled.join(mixed, "post").select("node", "post", "label")
+    return labelled.join(totals.where("labels > 1").drop("labels"), "post")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, matches: int, percent: int):
-    """Those of the pairs that agree often enough and are similar in full."""
+def _agreeing(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
+    """Those of the pairs whose signatures agree often enough."""
     first = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     second = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    agreeing = (
+    return (
         pairs.distinct()
         .join(first, "a")
         .join(second, "b")
-        .where(f"size(filter(zip_with(sa, sb, (x, y) -> x = y), z -> z)) >= {matches}")
+        .where(_agreements("sa", "sb") >= matches)
         .select("a", "b")
     )
+
+
+def _agreements(one: str, other: str):
+    return F.expr(f"aggregate(zip_with({one}, {other}, (x, y) -> int(x = y)), 0, (n, x) -> n + x)")
+
+
+def _links(agreeing: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the pairs that are similar in full."""
+    agreeing = stored(agreeing, "near-agreeing")
+    wanted = agreeing.select(F.col("a").alias("doc_id")).union(agreeing.select("b")).distinct()
+    sets = stored(
+        texts.join(wanted, "doc_id", "left_semi")
+        .select("doc_id", "text")
+        .mapInArrow(lambda batches: _sets(batches, width), "node long, shingles array<bigint>"),
+        "near-sets",
+    )
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
     compared = (
@@ -175,53 +216,58 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, matches: int, pe
         .select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"),
                 F.size(F.array_intersect("xa", "xb")).alias("both"))
     )
-    return compared.where(f"100L * both >= {percent}L * (na + nb - both)").select("a", "b")
+    similar = compared.where(f"100L * both >= {percent}L * (na + nb - both)")
+    return stored(similar.select("a", "b"), "near-links")
 
 
-def _linked_labels(nodes, sets, lists, matches: int, percent: int) -> DataFrame:
+def _linked_labels(texts, nodes, width: int, percent: int, coordinates: int, listed: int):
     """Component label of every node that is in a list."""
-    labels = stored(
-        lists.select("node").distinct().withColumn("label", F.col("node")), "near-labels"
-    )
-    postings = lists.count()
-    while True:
-        lists = stored(_open(lists, labels), "near-open")
-        # The largest component of each list, and the pairs that other members still have.
-        parts = lists.groupBy("post", "label").agg(F.count("*").alias("n"))
-        totals = parts.groupBy("post").agg(
-            F.sum("n").alias("all"),
-            F.max_by("label", "n").alias("major"),
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+    matches = least_matches(coordinates, percent)
+    prefixes = stored(_prefixes(nodes, listed, least_matches(listed, percent)), "prefixes")
+    labels = prefixes.select("node", F.col("node").alias("label"))
+    lists = prefixes.select("node", "company", F.explode("prefix").alias("post"))
+    for number in range(PIVOT_ROUNDS):
+        lists = stored(_open(lists, labels), "near-open").select(
+            "post", "node", "company", "label", "members"
         )
-        totals = stored(totals, "near-totals")
-        left = totals.agg(F.sum("pairs")).head()[0]
-        if not left:
-            return labels
-        last = left <= OPEN_PAIRS * postings
-        if last:
-            members = lists.join(totals.select("post", "major"), "post")
-            minor = members.where("label <> major").select(
-                "post", F.col("node").alias("m"), F.col("label").alias("lm")
-            )
-            pairs = members.join(minor, "post").where(
-                "label <> lm and (label = major or node < m)"
-            )
-            pairs = pairs.select(F.least("node", "m").alias("a"), F.greatest("node", "m").alias("b"))
-        else:
-            pivots = lists.groupBy("post").agg(
-                F.min(F.struct(F.xxhash64("node").alias("order"), "node", "label")).alias("p")
-            )
-            beside = lists.join(pivots, "post")
-            pairs = beside.where("label <> p.label").select(
-                F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")
+        pivots = (
+            lists.where(F.col("members") > SHORT)
+            .groupBy("post")
+            .agg(F.max(F.struct("company", "node", "label")).alias("pivot"))
+        )
+        beside = lists.where(F.col("members") > SHORT).join(pivots, "post")
+        pairs = beside.where("label <> pivot.label").select(
+            F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")
+        )
+        if not number:
+            short = lists.where(F.col("members") <= SHORT).select("post", "node", "label")
+            other = short.select("post", F.col("node").alias("b"), F.col("label").alias("lb"))
+            pairs = pairs.union(
+                short.join(other, "post")
+                .where("node < b and label <> lb")
+                .select(F.col("node").alias("a"), "b")
             )
-            # A pivot has met all others of its list.
-            lists = beside.where("node <> p.node").select("node", "post")
-        links = stored(_links(pairs, nodes, sets, matches, percent), "near-links")
+        links = _links(_agreeing(pairs, nodes, matches), texts, width, percent)
         labels = merge(labels, links)
-        if last:
-            return labels
-        lists = lists.select("node", "post")
+        # A pivot has met all others of its list, a short list is done.
+        lists = beside.where("node <> pivot.node").select("node", "company", "post")
+    lists = stored(_open(lists, labels), "near-open").select("post", "node", "label", "major")
+    seen = nodes.join(prefixes.select("node", "prefix"), "node")
+    members = lists.join(seen, "node")
+    minor = members.where("label <> major").select(
+        *[F.col(c).alias(f"m_{c}") for c in ("post", "node", "label", "prefix", "signature")]
+    )
+    # Whatever is not in the list's largest component meets all of other components, in
+    # the first list both are in; a pair leaves the join only if it agrees often enough.
+    met = members.join(
+        minor,
+        (F.col("post") == F.col("m_post"))
+        & F.expr("label <> m_label and (label = major or node < m_node)")
+        & (F.expr("array_intersect(prefix, m_prefix)[0]") == F.col("post"))
+        & (_agreements("signature", "m_signature") >= matches),
+    )
+    pairs = met.select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b"))
+    return merge(labels, _links(pairs.distinct(), texts, width, percent))
 
 
 def _with_shared_ids(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -249,7 +295,7 @@ def near_duplicates(
     width: int = 2,
     percent: int = 80,
     coordinates: int = COORDINATES,
-    matches: int = MATCHES,
+    listed: int = LISTED,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -288,15 +334,7 @@ def near_duplicates(
         "nodes",
     )
     nodes = nodes.drop(*key)
-    lists = stored(_prefixes(nodes, matches), "lists")
-    wanted = lists.select("node").distinct()
-    sets = stored(
-        texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInArrow(
-            lambda batches: _sets(batches, width), "node long, shingles array<bigint>"
-        ),
-        "sets",
-    )
-    labels = _linked_labels(nodes, sets, lists, matches, percent)
+    labels = _linked_labels(texts, nodes, width, percent, coordinates, listed)
     labels = _with_shared_ids(known.join(classes, key).select("doc_id", "node"), labels)
     moved = labels.where("node <> label")
     groups = (
