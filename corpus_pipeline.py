@@ -2,22 +2,64 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lendscope.llm import language_crf, mixing, pieces, rule_quality
 from lendscope.llm.common import stored, table
 from lendscope.llm.near_dedup import near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Less of a language's probability than this is no language.
+SURE_LANGUAGE = 0.5
+GOOD_FROM = 0.3
 
 
-def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the given ones teach; texts without letters go."""
+    model = language_crf.learn(docs)
+    found = language_crf.identify(docs.select(*COLUMNS), model, carry=True).where(
+        (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("score") >= SURE_LANGUAGE)
+    )
+    return found.select("row.*")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules learned from the labels call good."""
+    model = rule_quality.learn(docs, table(spark, sf_dir, "labels"))
+    scored = rule_quality.score_quality(
+        docs.select(*COLUMNS), model, threshold=GOOD_FROM, carry=True
+    )
+    return scored.where("predicted = 1").select("row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by shingles of five words."""
     kept = near_duplicates(docs, width=5).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as before, sources at evened shares; a row for each time one is taken."""
+    taken = mixing.mix(docs).select(F.col("doc_id").alias("taken_id"))
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("taken_id"))).select(*COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and the pieces of each text, with the two next best segmentations."""
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("near_dedup", keep_one_of_each_group)]
+STAGES = [
+    ("languages", known_languages),
+    ("quality", good_quality),
+    ("near_dedup", one_of_each_group),
+    ("mixing", mixed_sources),
+    ("encoding", encoded),
+]
 
+# Trained models, hashes of orders and piece lattices are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -44,3 +44,21 @@ def fold(column: str, folds: int) -> Column:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def with_texts(
+    documents: DataFrame, id_column: str, text_column: str, carry: bool = False
+) -> DataFrame:
+    """doc_id and text and, to be carried through Python, the whole row as ``row``."""
+    ready(documents.sparkSession)
+    whole = [F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")] * carry
+    return documents.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(text_column).cast("string").alias("text"),
+        *whole,
+    )
+
+
+def with_row(schema: str, documents: DataFrame, carry: bool) -> str:
+    """The schema text, with the carried row behind it."""
+    return f"{schema}, row {documents.schema.simpleString()}" if carry else schema

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ready
+from lendscope.llm.common import with_row, with_texts
 
 #: Labelled documents of each language to learn from, about.
 TRAINING_DOCUMENTS = 400
@@ -367,9 +367,10 @@ def _predicted(batches: Iterator[pa.RecordBatch], model: Model):
         share = np.where(some, mass[np.arange(len(mass)), best] / np.where(some, total, 1), 0.0)
         names = [model.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(names, pa.string()), pa.array(np.clip(share, 0, 1))],
-            names=["doc_id", "lang_pred", "score"],
-        )
+            [batch.column(0), pa.array(names, pa.string()), pa.array(np.clip(share, 0, 1)),
+             *batch.columns[2:]],
+            names=["doc_id", "lang_pred", "score", *batch.schema.names[2:]],
+        )
 
 
 def _spans(batches: Iterator[pa.RecordBatch], model: Model):
@@ -396,22 +397,15 @@ def _spans(batches: Iterator[pa.RecordBatch], model: Model):
         )
 
 
-def _texts(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    ready(documents.sparkSession)
-    return documents.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.col(text_column).cast("string").alias("text"),
-    )
-
-
 def identify(
     documents: DataFrame,
     model: Model | None,
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per row of documents: doc_id, lang_pred, score.
+    """One row per row of documents: doc_id, lang_pred, score; the whole row where carried.
 
     ``score`` is the language's share of probability over the words with letters.
     A null text and one without letters is ``und`` with score 0, and so is every
@@ -419,13 +413,17 @@ def identify(
     null, repeated rows come back each, an empty table gives an empty result, and
     other columns are not looked at.
     """
-    texts = _texts(documents, id_column, text_column)
+    texts = with_texts(documents, id_column, text_column, carry)
     if model is None:
         return texts.select(
-            "doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+            "doc_id",
+            F.lit(UNKNOWN).alias("lang_pred"),
+            F.lit(0.0).alias("score"),
+            *["row"] * carry,
         )
     return texts.mapInArrow(
-        lambda batches: _predicted(batches, model), "doc_id long, lang_pred string, score double"
+        lambda batches: _predicted(batches, model),
+        with_row("doc_id long, lang_pred string, score double", documents, carry),
     )
 
 
@@ -440,7 +438,7 @@ def label_words(
 
     Words are counted from 0 between white space; a null or empty text has no span.
     """
-    return _texts(documents, id_column, text_column).mapInArrow(
+    return with_texts(documents, id_column, text_column).mapInArrow(
         lambda batches: _spans(batches, model),
         "doc_id long, spans array<struct<first_word: long, n_words: long, lang: string>>",
     )

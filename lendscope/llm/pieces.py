@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from lendscope.llm.common import ready
 
 MARK = "▁"
+#: Scores below this mark pieces that are not meant to be produced.
+LEAST_SCORE = -1e8
 #: An unknown character costs this much more than the rarest single character.
 UNKNOWN_COST = 10.0
 _UNITS_KEPT = 300_000
@@ -69,7 +71,11 @@ class Pieces:
         if len(self.byte) != 256:
             raise ValueError("the model has no pieces for all bytes")
         self.longest = max(map(len, self.known), default=1)
-        single = [self.scores[i] for p, i in self.known.items() if len(p) == 1]
+        single = [
+            self.scores[i]
+            for p, i in self.known.items()
+            if len(p) == 1 and self.scores[i] > LEAST_SCORE
+        ]
         self.unknown = min(single, default=0.0) - UNKNOWN_COST
         # With one score more, for no piece.
         self.padded = np.append(self.scores, -np.inf)

@@ -122,17 +122,19 @@ def score_quality(
     id_column: str = "doc_id",
     text_column: str = "text",
     threshold: float = 0.3,
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per row of documents: doc_id, score, predicted.
+    """One row per row of documents: doc_id, score, predicted; the whole row where carried.
 
     All texts are scored whole; a null text scores like an empty one, whose
     statistics are all 0.  A null id stays null, repeated rows come back each, an
     empty table gives an empty result, and other columns are not looked at.
     Without labels the score is 0.5; with labels of one class it is near that class.
     """
-    counted = statistics(documents, id_column=id_column, text_column=text_column)
+    counted = statistics(documents, id_column=id_column, text_column=text_column, carry=carry)
+    whole = ["row"] * carry
     return (
-        counted.select("doc_id", "n_words", *ratio_columns())
-        .select("doc_id", model.score().alias("score"))
+        counted.select("doc_id", "n_words", *ratio_columns(), *whole)
+        .select("doc_id", model.score().alias("score"), *whole)
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )

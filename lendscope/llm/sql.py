@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -40,3 +42,61 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles,
   d.doc_id = coalesce(k.component_id, d.doc_id) AS kept
 FROM sets d LEFT JOIN classes c ON d.s = c.s LEFT JOIN components k ON k.node = c.node
 """
+
+WEB_ARCHIVES = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), sized AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest
+  FROM payloads
+), named AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+            THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM named
+"""
+
+
+def license_notices(documents: str = "documents") -> str:
+    """All windows of all documents against all templates, by shared shingles."""
+    from lendscope.llm.licenses import NOTICES, PERCENT, WIDTH, window_words
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(lower({text}), '[a-z0-9\\x{{80}}-\\x{{ffff}}]+')"
+
+    def shingles(array: str) -> str:
+        parts = " || ' ' || ".join(f"{array}[i + {k}]" for k in range(WIDTH))
+        return f"list_distinct([{parts} for i in range(1, len({array}) - {WIDTH} + 2)])"
+
+    rows = ", ".join(
+        "('{}', '{}')".format(name, notice.replace("'", "''")) for name, notice in NOTICES.items()
+    )
+    sizes = {len(re.findall("[a-z0-9]+", n.lower())) for n in NOTICES.values()}
+    cases = " ".join(f"WHEN {n} THEN {window_words(n)}" for n in sorted(sizes))
+    return f"""
+WITH given(license, notice) AS (VALUES {rows}
+), cut AS (
+  SELECT license, {words("notice")} AS t FROM given
+), known AS (
+  SELECT license, CASE len(t) {cases} END AS size, {shingles("t")} AS wanted FROM cut
+), texts AS (
+  SELECT doc_id, {words("text")} AS w FROM {documents} WHERE text IS NOT NULL
+), windows AS (
+  SELECT doc_id, size, unnest(range(0, len(w), size // 2)) AS first_word, w
+  FROM texts, (SELECT DISTINCT size FROM known)
+), parts AS (
+  SELECT doc_id, size, first_word, w[first_word + 1 : first_word + size] AS p FROM windows
+), matches AS (
+  SELECT doc_id, license, first_word, len(p) AS n_words, len(wanted) AS wanted,
+    len(list_intersect(wanted, {shingles("p")})) AS matched
+  FROM parts JOIN known USING (size)
+)
+SELECT doc_id, license, CAST(first(first_word ORDER BY matched DESC, first_word) AS INT) AS first_word,
+  CAST(first(n_words ORDER BY matched DESC, first_word) AS INT) AS n_words,
+  count(*) AS n_windows, CAST(max(matched) AS INT) AS matched, CAST(wanted AS INT) AS wanted
+FROM matches WHERE 100 * matched >= {PERCENT} * wanted
+GROUP BY doc_id, license, wanted
+"""

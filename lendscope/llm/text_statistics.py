@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ready
+from lendscope.llm.common import with_row, with_texts
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -116,21 +116,23 @@ def _counted(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         found = count_all(batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *[pa.array(found[c], pa.int64()) for c in COUNTS]],
-            names=["doc_id", *COUNTS],
-        )
+            [batch.column(0), *[pa.array(found[c], pa.int64()) for c in COUNTS],
+             *batch.columns[2:]],
+            names=["doc_id", *COUNTS, *batch.schema.names[2:]],
+        )
 
 
 def statistics(
-    documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """doc_id and the counts of every row of documents."""
-    ready(documents.sparkSession)
-    texts = documents.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.col(text_column).cast("string").alias("text"),
-    )
-    return texts.mapInArrow(_counted, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    """doc_id and the counts of every row of documents; the whole row where carried."""
+    texts = with_texts(documents, id_column, text_column, carry)
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
+    return texts.mapInArrow(_counted, with_row(schema, documents, carry))
 
 
 def ratio_columns() -> list[Column]:
