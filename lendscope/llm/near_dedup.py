@@ -10,9 +10,9 @@ have counted is read from the two signatures.
 A short list yields its pairs.  In a long one a pivot, the member with the most
 company, is compared with all others; what links is one component from then on.
 After that only members of different components are compared, each pair in the
-first list that both are in, and only pairs that agree often enough leave that
-join.  So a group of n near copies costs about n comparisons, and no link between
-components is lost.
+first list that both are in, and by their sets inside that join, so that only what
+links leaves it.  So a group of n near copies costs about n comparisons but for those
+that hang together just below the threshold, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ SLACK = 4.75
 SHORT = 8
 PIVOT_ROUNDS = 2
 _WORDS_KEPT = 400_000
+_BITS = (1 << 22) + 15
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _LONE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -126,15 +127,49 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int)
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int):
+def _marked(ids: DataFrame) -> np.ndarray:
+    """A bit map of fixed size over the ids modulo its bits; other ids may share a bit."""
+    words = ids.groupBy(F.expr(f"cast(pmod(doc_id, {_BITS}) div 32 as int)").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(doc_id, {_BITS}) % 32 as int))")).alias("bits")
+    )
+    found = words.toArrow()
+    marks = np.zeros(_BITS // 32 + 1, np.uint32)
+    marks[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return np.unpackbits(marks.view(np.uint8), bitorder="little").astype(bool)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int, marks: np.ndarray, short: bool):
     for batch in batches:
-        found = [shingle_hashes(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
+        ids = batch.column(0).fill_null(0).to_numpy()
+        batch = batch.filter(pa.array(marks[np.mod(ids, _BITS)]))
+        found = [shingle_hashes(t, width) for t in batch.column(1).to_pylist()]
+        sizes = pa.array([len(f) for f in found], pa.int32())
+        if short:
+            found = [np.unique(f >> np.uint64(32)).astype(np.uint32).view(np.int32) for f in found]
+        else:
+            found = [f.view(np.int64) for f in found]
+        kind = pa.list_(pa.int32() if short else pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-            names=["node", "shingles"],
+            [batch.column(0), sizes, pa.array(found, kind)], names=["node", "n", "shingles"]
         )
 
 
+def _sets_of(
+    texts: DataFrame, wanted: DataFrame, width: int, short: bool = False
+) -> DataFrame:
+    """node, n and shingles of the wanted ids (doc_id); short ones are halves of the hashes.
+
+    Tasks drop most other texts by a map of fixed size, so that no text is shuffled.
+    """
+    marks = _marked(wanted)
+    kind = "int" if short else "bigint"
+    made = texts.select("doc_id", "text").mapInArrow(
+        lambda batches: _sets(batches, width, marks, short),
+        f"node long, n int, shingles array<{kind}>",
+    )
+    return made.join(wanted.withColumnRenamed("doc_id", "node"), "node", "left_semi")
+
+
 def _prefixes(nodes: DataFrame, listed: int, matches: int) -> DataFrame:
     """(node, company, prefix): the lists a node must enter to meet every partner.
 
@@ -202,12 +237,7 @@ def _links(agreeing: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     """Those of the pairs that are similar in full."""
     agreeing = stored(agreeing, "near-agreeing")
     wanted = agreeing.select(F.col("a").alias("doc_id")).union(agreeing.select("b")).distinct()
-    sets = stored(
-        texts.join(wanted, "doc_id", "left_semi")
-        .select("doc_id", "text")
-        .mapInArrow(lambda batches: _sets(batches, width), "node long, shingles array<bigint>"),
-        "near-sets",
-    )
+    sets = stored(_sets_of(texts, wanted, width), "near-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
     compared = (
@@ -226,7 +256,7 @@ def _linked_labels(texts, nodes, width: int, percent: int, coordinates: int, lis
     prefixes = stored(_prefixes(nodes, listed, least_matches(listed, percent)), "prefixes")
     labels = prefixes.select("node", F.col("node").alias("label"))
     lists = prefixes.select("node", "company", F.explode("prefix").alias("post"))
-    for number in range(PIVOT_ROUNDS):
+    for _ in range(PIVOT_ROUNDS):
         lists = stored(_open(lists, labels), "near-open").select(
             "post", "node", "company", "label", "members"
         )
@@ -239,32 +269,41 @@ def _linked_labels(texts, nodes, width: int, percent: int, coordinates: int, lis
         pairs = beside.where("label <> pivot.label").select(
             F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")
         )
-        if not number:
-            short = lists.where(F.col("members") <= SHORT).select("post", "node", "label")
-            other = short.select("post", F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = pairs.union(
-                short.join(other, "post")
-                .where("node < b and label <> lb")
-                .select(F.col("node").alias("a"), "b")
-            )
+        short = lists.where(F.col("members") <= SHORT).select("post", "node", "label")
+        other = short.select("post", F.col("node").alias("b"), F.col("label").alias("lb"))
+        pairs = pairs.union(
+            short.join(other, "post")
+            .where("node < b and label <> lb")
+            .select(F.col("node").alias("a"), "b")
+        )
         links = _links(_agreeing(pairs, nodes, matches), texts, width, percent)
         labels = merge(labels, links)
         # A pivot has met all others of its list, a short list is done.
         lists = beside.where("node <> pivot.node").select("node", "company", "post")
     lists = stored(_open(lists, labels), "near-open").select("post", "node", "label", "major")
-    seen = nodes.join(prefixes.select("node", "prefix"), "node")
-    members = lists.join(seen, "node")
+    open_nodes = stored(lists.select(F.col("node").alias("doc_id")).distinct(), "near-open")
+    sets = _sets_of(texts, open_nodes, width, short=True)
+    members = lists.join(sets.join(prefixes.select("node", "prefix"), "node"), "node")
     minor = members.where("label <> major").select(
-        *[F.col(c).alias(f"m_{c}") for c in ("post", "node", "label", "prefix", "signature")]
+        *[F.col(c).alias(f"m_{c}") for c in ("post", "node", "label", "prefix", "n", "shingles")]
     )
     # Whatever is not in the list's largest component meets all of other components, in
-    # the first list both are in; a pair leaves the join only if it agrees often enough.
+    # the first list both are in.  Halves of hashes that fall together in a set could hide
+    # a shared shingle, so as many are granted; what passes is compared in full.
+    shared = (
+        F.size(F.array_intersect("shingles", "m_shingles"))
+        + F.col("n")
+        - F.size("shingles")
+        + F.col("m_n")
+        - F.size("m_shingles")
+    )
     met = members.join(
         minor,
         (F.col("post") == F.col("m_post"))
         & F.expr("label <> m_label and (label = major or node < m_node)")
+        & F.expr(f"100 * n >= {percent} * m_n and 100 * m_n >= {percent} * n")
         & (F.expr("array_intersect(prefix, m_prefix)[0]") == F.col("post"))
-        & (_agreements("signature", "m_signature") >= matches),
+        & (100 * shared >= percent * (F.col("n") + F.col("m_n") - shared)),
     )
     pairs = met.select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b"))
     return merge(labels, _links(pairs.distinct(), texts, width, percent))
