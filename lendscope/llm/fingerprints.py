@@ -61,7 +61,7 @@ def entropy_levels(laid: np.ndarray, begins: np.ndarray, lengths: np.ndarray) ->
     behind = np.zeros(len(laid), np.uint8)
     for start in range(0, len(laid), _BLOCK):
         end = min(start + _BLOCK, len(laid))
-        for lag in range(1, WINDOW):
+        for lag in range(1, min(WINDOW, end)):
             first = max(start, lag)
             same = (laid[first:end] == laid[first - lag : end - lag]).view(np.uint8)
             before[first:end] += same
@@ -122,7 +122,7 @@ def _plain_features(text: np.ndarray) -> np.ndarray:
 
 
 def _hash_rows(rows: np.ndarray) -> np.ndarray:
-    parts = rows.view(np.uint64).reshape(len(rows), -1)
+    parts = rows.view(np.uint64).reshape(len(rows), rows.shape[1] // 8)
     value = np.zeros(len(rows), np.uint64)
     for k in range(parts.shape[1]):
         value = (value ^ parts[:, k]) * _MIX

@@ -43,7 +43,8 @@ _ENCODED = (
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    # From 1 on, so that a NUL in front changes a hash.
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
 
 
 class Pieces:
@@ -128,7 +129,7 @@ def best_paths(pieces: Pieces, units: list[str]) -> tuple[list[list[int]], np.nd
     lengths = np.fromiter(map(len, units), np.int64, count)
     flat = np.array(units, dtype=f"U{width}").view(np.uint32).reshape(count, width)
     codes[:] = flat.T
-    # A unit that ends in NUL characters has them as codes, which no piece has.
+    codes += np.uint64(1)
     longest = min(pieces.longest, width)
     ids = np.full((longest, width, count), -1, np.int32)
     hashes = np.zeros((width, count), np.uint64)

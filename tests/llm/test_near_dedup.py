@@ -114,9 +114,9 @@ def test_agreements_follow_similarity():
     """Estimated similarity is near the true one, and the threshold leaves room."""
     factors = near_dedup._multipliers(near_dedup.COORDINATES)
     drawn = np.random.default_rng(2)
-    both = drawn.integers(0, 1 << 63, 800, dtype=np.uint64)
     agreed = []
     for _ in range(60):
+        both = drawn.integers(0, 1 << 63, 800, dtype=np.uint64) * np.uint64(2)
         one, other = (drawn.integers(0, 1 << 63, 100, dtype=np.uint64) for _ in range(2))
         a = near_dedup.signature(np.concatenate([both, one]), factors)
         b = near_dedup.signature(np.concatenate([both, other]), factors)
