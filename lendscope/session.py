@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -12,9 +13,6 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 128 << 20
-# More would cost the driver too much memory for where each map output lies; the
-# partitions of a larger shuffle grow beyond PARTITION_BYTES and may spill to disk.
-MOST_PARTITIONS = 1 << 15
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Settings this library likes; apply with ``configure`` before the session starts.
@@ -36,16 +34,20 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
+def sized_shuffles(
+    spark: SparkSession, size: int, most: int | None = None
+) -> Iterator[None]:
     """Let shuffles of ``size`` bytes start with enough partitions to fit in memory.
 
-    Never fewer than the session asks for, and by itself not above
-    ``MOST_PARTITIONS``.  Adaptive execution joins partitions
-    that turn out small, so too many cost little and too few would spill.
+    Never fewer than the session asks for.  Adaptive execution joins partitions that
+    turn out small, so too many cost little and too few would spill.  The driver
+    keeps where each map output lies, so with very many map tasks ``most`` can trade
+    its memory for larger partitions.
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
+    wanted = -(-size // PARTITION_BYTES)
+    wanted = wanted if most is None else min(wanted, most)
     spark.conf.set(setting, str(max(int(before), wanted)))
     try:
         yield
@@ -53,6 +55,15 @@ def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package; a cluster gets it as py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

@@ -3,11 +3,10 @@
 Spark matches CSV columns by position, so files are grouped by their header row
 and each group is read on its own; the groups are then joined by column name.
 
-A cell may hold a line break inside quotes, and then Spark's CSV reader must read
-the whole file in one task.  Files that fit one piece anyway are read that way at
-no cost.  A larger file is first checked for a line with an odd number of quotes:
-without one no cell spans lines, and the file is cut safely.  With one, the file
-is read as lines, in pieces, and the lines of each row are joined (``spanning``).
+One grammar of rows holds for files of every size (``spanning``).  One pass over all
+lines finds each file's header row and whether any of its rows spans lines.  A file
+without such rows is cut safely and read by Spark's CSV reader; one with them is
+read as lines, in pieces, and the lines of each row are joined.
 """
 
 from __future__ import annotations
@@ -15,9 +14,9 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +29,16 @@ from lendscope.operators.naming import canonical_names
 from lendscope.sources import spanning
 from lendscope.sources.discover import SourceFile
 
-_SURPLUS = "surplus_cell"
-_HEADER_READERS = 16
-
-
 # Ways of reading a file.
-WHOLE, CUT, JOINED = "whole", "cut", "joined"
-_OPTIONS = {"quote": '"', "escape": '"'}
+CUT, JOINED = "cut", "joined"
+_RAW_ROW = "raw_row"
+_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _RAW_ROW,
+    "columnPruning": "false",
+}
 
 
 @dataclass(frozen=True)
@@ -48,27 +50,18 @@ class Layout:
     paths: tuple[str, ...]
 
 
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The header row of one file; only its first lines are read."""
-    wanted = 1
-    while True:
-        lines = [r.value for r in spark.read.text(path).head(wanted)]
-        text = "\n".join(lines).lstrip("\ufeff")
-        complete = bool(text.strip()) and text.count('"') % 2 == 0
-        if complete or len(lines) < wanted:
-            break
-        wanted *= 2
-    row = next(csv.reader(text.lstrip("\n").splitlines(keepends=True)), [])
+def header_cells(text: str) -> tuple[str, ...]:
+    """The cells of a header row; one without a name is named by its position."""
+    row = next(csv.reader(text.lstrip("\ufeff").splitlines(keepends=True)), [])
     return tuple(cell or f"Unnamed: {i}" for i, cell in enumerate(row))
 
 
-def _one_line_per_row(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Of these files, those where no cell can span lines."""
+def _spanning_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Header rows of files whose header spans lines, all in one job."""
     if not paths:
-        return set()
-    odd = F.bool_or(spanning.quotes_in("value") % 2 == 1).alias("odd")
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
-    return {r.path for r in lines.groupBy("path").agg(odd).where("not odd").select("path").collect()}
+        return {}
+    rows = spanning.records(spark, paths).where("header").select(POSITION[0], "record")
+    return {r[0]: r[1] for r in rows.collect()}
 
 
 def _same_file(path: str) -> str:
@@ -77,41 +70,31 @@ def _same_file(path: str) -> str:
     return f"{scheme}:/{rest.lstrip('/')}" if rest else path
 
 
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    digits = text.strip().lower().rstrip("b")
-    return int(digits[:-1]) << units[digits[-1]] if digits[-1] in units else int(digits)
-
-
 def layouts(
     spark: SparkSession, files: Sequence[SourceFile], line_breaks: str = "check"
 ) -> list[Layout]:
-    """The files grouped by header row and way of reading.
+    """The files grouped by header row and way of reading; files without a row are left out.
 
-    ``line_breaks`` says whether cells may hold them: ``check`` looks, as above;
-    ``none`` promises there are none; ``any`` takes it that there are; ``whole``
-    has one task read each file, for files with stray quotes in them.
+    ``line_breaks`` says whether cells may hold them: ``check`` looks; ``none``
+    promises there are none; ``any`` takes it that there are.  One job reads all
+    files, and one more those whose header row spans lines.
     """
-    if line_breaks not in ("check", "none", "any", "whole"):
+    if line_breaks not in ("check", "none", "any"):
         raise ValueError(f"unknown line_breaks: {line_breaks}")
-    piece = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    large = [f.path for f in files if f.length > piece]
-    way = {f.path: WHOLE for f in files}
-    if line_breaks == "none":
-        way = dict.fromkeys(way, CUT)
-    elif line_breaks != "whole":
-        way.update(dict.fromkeys(large, JOINED))
-    if line_breaks == "check":
-        safe = {_same_file(p) for p in _one_line_per_row(spark, large)}
-        way.update({p: CUT for p in large if _same_file(p) in safe})
-
-    with ThreadPoolExecutor(_HEADER_READERS) as readers:
-        headers = readers.map(lambda f: read_header(spark, f.path), files)
-        grouped: dict[tuple, list[str]] = defaultdict(list)
-        for file, header in zip(files, headers):
-            if header:
-                grouped[(header, way[file.path])].append(file.path)
-    return [Layout(header, how, tuple(paths)) for (header, how), paths in grouped.items()]
+    found = {r[POSITION[0]]: r for r in spanning.survey(spark, [f.path for f in files]).collect()}
+    # Positions spell a path as a URI.
+    by_file = {_same_file(unquote(p)): (p, r) for p, r in found.items()}
+    known = {f.path: by_file[_same_file(f.path)] for f in files if _same_file(f.path) in by_file}
+    long_headers = _spanning_headers(spark, [f for f, (_, r) in known.items() if r.header_spans])
+    grouped: dict[tuple, list[str]] = defaultdict(list)
+    for file in files:
+        path, row = known.get(file.path, (None, None))
+        if row is None or row.header is None:
+            continue
+        spans = {"check": row.spans, "none": False, "any": True}[line_breaks]
+        header = header_cells(long_headers.get(path, row.header))
+        grouped[header, JOINED if spans else CUT].append(file.path)
+    return [Layout(header, way, tuple(paths)) for (header, way), paths in grouped.items()]
 
 
 def scan(
@@ -119,21 +102,20 @@ def scan(
 ) -> DataFrame:
     """All cells of one layout as text, with the name of the file each row is from (A5).
 
-    A row with more cells than the header has fails the job rather than lose
-    some; a shorter row is filled up with nulls.  ``position`` adds the file
-    path, where in the file the piece starts, and a number that grows with the
-    rows of a piece.
+    A row with more cells than the header has fails the job, whatever they hold; a
+    shorter row is filled up with nulls.  ``position`` adds the file path, where in
+    the file the piece starts, and a number that grows with the rows of a piece.
     """
-    fields = [f"cell_{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, _SURPLUS]])
+    fields = [f"cell_{i}" for i in range(len(layout.headers))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, _RAW_ROW]])
     if layout.way == JOINED:
-        records = spanning.records(spark, layout.paths)
+        records = spanning.records(spark, layout.paths).where("not header")
         cells_of = F.from_csv("record", F.lit(schema.toDDL()), _OPTIONS)
         rows = records.withColumn("row", cells_of).select(SOURCE_FILE, *POSITION, "row.*")
     else:
         rows = (
             spark.read.schema(schema)
-            .options(header=True, multiLine=layout.way == WHOLE, **_OPTIONS)
+            .options(header=True, enforceSchema=True, **_OPTIONS)
             .csv(list(layout.paths))
             .select(
                 F.col("_metadata.file_name").alias(SOURCE_FILE),
@@ -143,10 +125,14 @@ def scan(
                 *schema.names,
             )
         )
+    # The reader keeps the text of rows whose number of cells is not the header's.  The
+    # length is only there because Spark does not read that text alone.
     surplus = F.concat(F.lit("row with more cells than its header in "), POSITION[0])
-    fits = F.when(F.col(_SURPLUS).isNull(), True).otherwise(
-        F.raise_error(surplus).cast("boolean")
-    )
+    odd = F.col(_RAW_ROW).isNotNull() & (F.coalesce(F.length(fields[0]), F.lit(0)) >= 0)
+    fits = F.when(
+        odd & (spanning.cell_count(F.col(_RAW_ROW)) > len(fields)),
+        F.raise_error(surplus).cast("boolean"),
+    ).otherwise(True)
     kept = [F.col(c).alias(n) for c, n in zip(fields, names) if n != SOURCE_FILE]
     kept += [SOURCE_FILE, *(POSITION if position else ())]
     return rows.where(fits).select(*kept)

@@ -1,13 +1,14 @@
 """Rows that span lines, in files read piece by piece.
 
-A line is inside a quoted cell when an odd number of quotes stands before it in
-its file.  A first pass counts the quotes of each piece; from those follows how
-each piece begins.  A second pass joins lines while it reads a piece in order.
-Only the rows that cross from one piece to the next, at most two parts of rows per
-piece, are shuffled.
-
-A stray quote inside an unquoted cell would mislead the count.  It shows in the
-joined row, and fails the job.
+One grammar holds for files of every size: a quote opens a cell only where the cell
+begins, two quotes inside it stand for one, and any other quote is text.  Whether a
+line begins inside a cell depends on all lines before it in its file, but what a
+line does to that does not: started outside or inside a cell, it ends outside or
+inside one.  So each piece is read once under both starts; how the pieces before
+end then says how each begins.  A second pass joins lines within pieces, and only
+the parts of rows that cross from one piece to the next are shuffled.
+
+A file whose last cell is never closed is an error, raised before any row is joined.
 """
 
 from __future__ import annotations
@@ -19,47 +20,156 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscope.model import POSITION, SOURCE_FILE
+from lendscope.session import share_package
 
 if TYPE_CHECKING:
     import pandas as pd
 
 PATH, BLOCK, ROW = POSITION
+#: More pieces that begin inside a cell are joined by a shuffle instead of a broadcast.
+MOST_BROADCAST = 50_000
 # Kinds of joined text: a whole row, or the part of a row that a piece holds.
 _ROW, _BEGINS, _ENDS, _WITHIN = range(4)
-_RECORDS = f"{SOURCE_FILE} string, {PATH} string, {BLOCK} long, {ROW} long, kind int, record string"
+_RECORDS = (
+    f"{SOURCE_FILE} string, {PATH} string, {BLOCK} long, {ROW} long, kind int, header boolean, "
+    "record string"
+)
+_STATES = f"{PATH} string, {BLOCK} long, from_outside boolean, from_inside boolean"
 
+_BLANKS = "".join(map(chr, range(33)))
+_QUOTED = '"(?:[^"]++|"")*+'
+_CELL = f'(?:{_QUOTED}"[^,]*+|[^",][^,]*+|)'
+_OPENS = f"^(?:{_CELL},)*+{_QUOTED}$"
+_STAYS = f'^(?:[^"]++|"")*+(?:$|"[^,]*+,(?:{_CELL},)*+{_QUOTED}$)'
 
-def quotes_in(column: str) -> Column:
-    """How many quotes a text holds."""
-    return F.length(column) - F.length(F.replace(column, F.lit('"'), F.lit("")))
 
+def cell_count(record: Column) -> Column:
+    """How many cells a row has."""
+    return F.regexp_count(F.concat(F.lit(","), record), F.lit(f",{_CELL}"))
 
-def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All rows of the files as text, header rows left out, with their positions."""
-    lines = (
+
+def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All lines with their place, and whether they end inside a cell if started outside or
+    inside one."""
+    share_package(spark)
+    quoted = F.contains("value", F.lit('"'))
+    return (
         spark.read.option("lineSep", "\n")
         .text(list(paths))
         .select(
-            F.rtrim("value", F.lit("\r")).alias("value"),
+            F.ltrim(F.rtrim("value", F.lit("\r")), F.lit("\ufeff")).alias("value"),
             F.col("_metadata.file_name").alias(SOURCE_FILE),
             F.col("_metadata.file_path").alias(PATH),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.monotonically_increasing_id().alias(ROW),
         )
+        .withColumns(
+            {
+                "opens": quoted & F.col("value").rlike(_OPENS),
+                "stays": ~quoted | F.col("value").rlike(_STAYS),
+            }
+        )
+    )
+
+
+def survey(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row a file: whether a cell may span lines, and the first line that is not blank.
+
+    Where no line that starts outside a cell ends inside one, no row spans lines.
+    """
+    named = (F.col(BLOCK) == 0) & F.col("value").rlike(r"[^\x00-\x20]")
+    first = F.min(F.when(named, F.struct(ROW, "value", "opens")))
+    return (
+        lines_of(spark, paths)
+        .groupBy(PATH)
+        .agg(F.bool_or("opens").alias("spans"), first.alias("first"))
+        .select(
+            PATH, "spans", F.col("first.value").alias("header"),
+            F.col("first.opens").alias("header_spans"),
+        )
+    )
+
+
+def _piece_states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How each piece ends, for both ways it can begin."""
+    import pandas as pd
+
+    place, states = None, (False, True)
+    for batch in batches:
+        done = []
+        for key, lines in batch.groupby(["source_path", "block_start"], sort=False):
+            if key != place:
+                if place:
+                    done.append((*place, *states))
+                place, states = key, (False, True)
+            ends = [_ends(lines["opens"].to_numpy(), lines["stays"].to_numpy(), s) for s in states]
+            states = tuple(bool(e[-1]) for e in ends)
+        if done:
+            yield pd.DataFrame(done, columns=_STATE_NAMES)
+    if place:
+        yield pd.DataFrame([(*place, *states)], columns=_STATE_NAMES)
+
+
+_STATE_NAMES = ["source_path", "block_start", "from_outside", "from_inside"]
+
+
+def _ends(opens, stays, start: bool):
+    """State after each line: a line sets it, flips it or leaves it."""
+    import numpy as np
+
+    place = np.arange(len(opens))
+    last_set = np.maximum.accumulate(np.where(opens == stays, place, -1))
+    flips = np.cumsum(opens & ~stays)
+    base = np.where(last_set >= 0, opens[last_set], start)
+    since = flips - np.where(last_set >= 0, flips[last_set], 0)
+    return base ^ (since % 2 == 1)
+
+
+def begins_inside(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The pieces that begin inside a cell (path, block); an error for a cell never closed."""
+    lines = lines_of(spark, paths).select(PATH, BLOCK, "opens", "stays")
+    states = lines.mapInPandas(_piece_states, _STATES)
+    # As for lines: a piece sets the state, flips it or leaves it.
+    sets = F.col("from_outside") == F.col("from_inside")
+    flips = F.col("from_outside") & ~F.col("from_inside")
+    through = Window.partitionBy(PATH).orderBy(BLOCK)
+    counted = states.withColumn("flips", F.sum(flips.cast("int")).over(through))
+    last = F.last(F.when(sets, F.struct("from_outside", "flips")), ignorenulls=True).over(through)
+    ended = counted.withColumn("last", last).withColumn(
+        "inside",
+        F.coalesce(F.col("last.from_outside"), F.lit(False))
+        != ((F.col("flips") - F.coalesce(F.col("last.flips"), F.lit(0))) % 2 == 1),
     )
-    counted = lines.groupBy(PATH, BLOCK).agg((F.sum(quotes_in("value")) % 2).alias("odd"))
-    before = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    begins = counted.select(
-        PATH, BLOCK, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside")
+    behind = F.lead(BLOCK).over(through)
+    unclosed = F.raise_error(F.concat(F.lit("a quoted cell is never closed in "), PATH))
+    return (
+        ended.withColumn("next", behind)
+        .where("inside")
+        .select(PATH, F.when(F.col("next").isNull(), unclosed.cast("long")).otherwise(F.col("next")).alias(BLOCK))
     )
-    # One row per piece of a file, so as small beside the data as its file list.
-    # A shuffled join would also lose the order of the lines.
-    joined = lines.join(F.broadcast(begins), [PATH, BLOCK]).mapInPandas(_joiner(), _RECORDS)
+
+
+def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All rows of the files as text, with their positions; ``header`` marks header rows."""
+    begins = begins_inside(spark, paths)
+    few = begins.limit(MOST_BROADCAST + 1).collect()
+    lines = lines_of(spark, paths)
+    inside = F.lit(True).alias("inside")
+    if len(few) <= MOST_BROADCAST:
+        known = spark.createDataFrame(few, f"{PATH} string, {BLOCK} long").select("*", inside)
+        marked = lines.join(F.broadcast(known), [PATH, BLOCK], "left")
+    else:
+        marked = lines.join(begins.select("*", inside), [PATH, BLOCK], "left")
+        marked = marked.sortWithinPartitions(PATH, BLOCK, ROW)
+    joined = marked.select(
+        SOURCE_FILE, PATH, BLOCK, ROW, "value", "opens", "stays",
+        F.coalesce("inside", F.lit(False)).alias("inside"),
+    ).mapInPandas(_joined, _RECORDS)
 
     crossing = joined.where(F.col("kind") != _ROW)
     in_file = Window.partitionBy(PATH).orderBy(BLOCK, ROW)
     number = F.sum((F.col("kind") == _BEGINS).cast("int")).over(in_file)
-    parts = F.array_sort(F.collect_list(F.struct(BLOCK, ROW, "record")))
+    parts = F.array_sort(F.collect_list(F.struct(BLOCK, ROW, "header", "record")))
     put_together = (
         crossing.withColumn("number", number)
         .groupBy(SOURCE_FILE, PATH, "number")
@@ -69,70 +179,78 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             PATH,
             F.col("parts")[0][BLOCK].alias(BLOCK),
             F.col("parts")[0][ROW].alias(ROW),
+            F.col("parts")[0]["header"].alias("header"),
             F.array_join(F.transform("parts", lambda part: part["record"]), "\n").alias("record"),
         )
     )
-    whole = joined.where((F.col("kind") == _ROW) & (F.col("record") != "")).drop("kind")
-    return whole.unionByName(put_together).withColumn("record", _checked(F.col("record")))
+    return joined.where(F.col("kind") == _ROW).drop("kind").unionByName(put_together)
 
 
-def _checked(record: Column) -> Column:
-    """The row, if every quoted part of it is a whole cell; else an error."""
-    marked = F.regexp_replace(record, r'"[^"]*"', "\x01")
-    stray = marked.rlike("[^,\x01]\x01|\x01[^,\x01]|[\n\"]")
-    failed = F.raise_error(
-        F.concat(F.lit("stray quote in "), PATH, F.lit("; read it with line_breaks='whole'"))
-    )
-    return F.when(F.contains(record, F.lit("\n")) & stray, failed.cast("string")).otherwise(record)
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines joined to rows within pieces, in the order they are read; blank rows left out."""
+    import numpy as np
+    import pandas as pd
 
+    columns = ["source_file", "source_path", "block_start", "row_order"]
+    place = None  # the piece being read
+    state = False  # whether its next line begins inside a cell
+    pending: list[str] = []  # lines of a row that is not complete
+    begun: tuple = ()  # where that row is from
+    came_open = False  # whether it began in an earlier piece
+    header = False  # whether the header row is still to come
 
-def _joiner():
-    """The function that joins lines within pieces, in the order they are read.
+    def part(kind: int) -> pd.DataFrame:
+        row = (*begun, kind, header and kind == _BEGINS, "\n".join(pending))
+        return pd.DataFrame([row], columns=[*columns, "kind", "header", "record"])
 
-    It holds all it needs, so executors need not have this module.
-    """
-    whole_row, begins, ends, within = _ROW, _BEGINS, _ENDS, _WITHIN
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pandas as pd
-
-        columns = ["source_file", "source_path", "block_start", "row_order", "kind", "record"]
-        place = None  # the piece being read
-        pending: list = []  # lines of a row that is not complete
-        came_open = False  # whether that row began in an earlier piece
-        begun: tuple = ()  # where it is from
-        skip = False  # whether the header row is still to come
-
-        def out(kind: int) -> list:
-            return [(*begun, kind, "\n".join(pending))]
-
-        for batch in batches:
-            ready: list = []
-            for key, lines in batch.groupby(["source_path", "block_start"], sort=False):
-                if key != place:
-                    if pending:
-                        ready += out(within if came_open else begins)
-                    place, pending = key, []
-                    came_open = bool(lines["inside"].iloc[0])
-                    inside, skip = int(came_open), key[1] == 0
-                quotes = lines["value"].str.count('"')
-                after = (quotes.cumsum() + inside) % 2 == 1
-                row = zip(
-                    lines["source_file"], lines["source_path"], lines["block_start"],
-                    lines["row_order"], lines["value"], after,
-                )
-                for file, path, block, order, value, still_inside in row:
-                    if not pending:
-                        begun = (file, path, block, order)
-                    pending.append(value)
-                    if not still_inside:
-                        if not skip:
-                            ready += out(ends if came_open else whole_row)
-                        pending, came_open, skip = [], False, False
-                inside = int(after.iloc[-1])
-            if ready:
-                yield pd.DataFrame(ready, columns=columns)
-        if pending:
-            yield pd.DataFrame(out(within if came_open else begins), columns=columns)
-
-    return join
+    for batch in batches:
+        ready = []
+        for key, lines in batch.groupby(["source_path", "block_start"], sort=False):
+            if key != place:
+                if pending:
+                    ready.append(part(_WITHIN if came_open else _BEGINS))
+                place, pending = key, []
+                state = came_open = bool(lines["inside"].iloc[0])
+                header = key[1] == 0
+            ends = _ends(lines["opens"].to_numpy(), lines["stays"].to_numpy(), state)
+            starts = np.concatenate([[state], ends[:-1]])
+            if state and not pending:
+                begun = tuple(lines[columns].iloc[0])
+            # Number the rows; a row begins at each line that starts outside.
+            row = np.cumsum(~starts)
+            text = lines["value"].to_numpy()
+            first = np.flatnonzero(np.diff(row, prepend=-1) != 0)
+            last = np.append(first[1:], len(row)) - 1
+            pieces = [text[a] if a == b else "\n".join(text[a : b + 1]) for a, b in zip(first, last)]
+            closed = ~ends[last]
+            place_of = lines[columns].iloc[first].reset_index(drop=True)
+            kinds = np.full(len(first), _ROW)
+            if state:
+                # The first part goes on a row begun before.
+                pending.append(pieces[0])
+                if closed[0]:
+                    if came_open:
+                        ready.append(part(_ENDS))
+                        kinds[0] = -1
+                    else:
+                        place_of.loc[0] = list(begun)
+                        pieces[0] = "\n".join(pending)
+                    pending, came_open = [], False
+                else:
+                    kinds[0] = -1
+            if not closed[-1] and kinds[-1] != -1:
+                begun, pending = tuple(place_of.iloc[-1]), [pieces[-1]]
+                kinds[-1] = -1
+            state = bool(ends[-1])
+            found = place_of.assign(kind=kinds, header=False, record=pieces)
+            found = found[(found["kind"] == _ROW) & (found["record"].str.strip(_BLANKS) != "")]
+            if header and len(found):
+                found = found.reset_index(drop=True)
+                found.loc[0, "header"] = True
+                header = False
+            ready.append(found)
+        ready = [r for r in ready if len(r)]
+        if ready:
+            yield pd.concat(ready, ignore_index=True)
+    if pending:
+        yield part(_WITHIN if came_open else _BEGINS)

@@ -76,7 +76,7 @@ def test_first_candidate_with_files_wins(spark, folder, tmp_path):
         csv_files.union_by_name([])
 
 
-@pytest.mark.parametrize("line_breaks", ["check", "any", "whole"])
+@pytest.mark.parametrize("line_breaks", ["check", "any"])
 @pytest.mark.parametrize("piece", ["128MB", "256b"])
 def test_clean_job(spark, folder, tmp_path, line_breaks, piece):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -268,7 +268,9 @@ def test_shuffles_follow_the_size_of_the_input(spark):
     with sized_shuffles(spark, 1024**4):
         assert spark.conf.get(setting) == "8192"
     with sized_shuffles(spark, 100 * 1024**4):
-        assert spark.conf.get(setting) == "32768"
+        assert spark.conf.get(setting) == "819200"
+    with sized_shuffles(spark, 100 * 1024**4, most=1000):
+        assert spark.conf.get(setting) == "1000"
     with sized_shuffles(spark, 1):
         assert spark.conf.get(setting) == before
     assert spark.conf.get(setting) == before
@@ -295,34 +297,101 @@ def test_rows_that_span_pieces(spark, tmp_path, end, piece):
         assert layout.way == "joined"
         raw = csv_files.scan(spark, layout, ["id", "text", "last"], position=True)
         found = raw.orderBy("source_path", "block_start", "row_order").collect()
-        (whole,) = csv_files.layouts(spark, files, "whole")
-        same = csv_files.scan(spark, whole, ["id", "text", "last"]).collect()
         kept = sinks.first_rows(raw, 20).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     expected = [(str(i), t.replace("\r\n", "\n") or "", "z") for i, t in enumerate(texts)]
     assert [(r.id, r.text or "", r.last) for r in found] == expected * 2
-    assert sorted((r.id, r.text or "", r.source_file) for r in same) == sorted(
-        (r.id, r.text or "", r.source_file) for r in found
-    )
     assert {(r.source_file, r.id) for r in kept} == {
         (name, str(i)) for name in ("a.csv", "b.csv") for i in range(20)
     }
 
 
-def test_a_stray_quote_fails_rather_than_misleads(spark, tmp_path):
-    rows = [f"{i},plain" for i in range(500)]
-    rows[100], rows[300] = '100,5" pipe', '300,"two\nlines"'
-    write(tmp_path, "t.csv", "id,text", rows)
+SIZES = ["128MB", "200b"]
+
+
+@pytest.fixture(params=SIZES)
+def piece(request, spark):
+    """Files of one piece, and files cut into many."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        files = discover(spark, [str(tmp_path)])
-        with pytest.raises(Exception, match="stray quote"):
-            csv_files.read_raw(spark, files).collect()
-        whole = csv_files.read_raw(spark, files, line_breaks="whole")
-        assert whole.count() == 500
-        assert whole.where("id = 100").first().text == '5" pipe'
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    yield request.param
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("spanning", [False, True])
+def test_stray_quotes_are_text(spark, tmp_path, piece, spanning):
+    texts = [f"plain {i}" for i in range(100)]
+    texts[20], texts[21], texts[60] = '5" pipe', 'say "hi" now', '"'.join("abc")
+    rows = [f"{i},{t},z" for i, t in enumerate(texts)]
+    if spanning:
+        rows[40], texts[40] = '40,"two\nlines, ""q"" 5"" x",z', 'two\nlines, "q" 5" x'
+        rows[70], texts[70] = '70,"\n\n",z', "\n\n"
+    write(tmp_path, "t.csv", 'id,5" header,last', rows)
+    files = discover(spark, [str(tmp_path)])
+    (layout,) = csv_files.layouts(spark, files)
+    assert layout.headers == ("id", '5" header', "last")
+    assert layout.way == ("joined" if spanning else "cut")
+    found = csv_files.scan(spark, layout, ["id", "text", "last"]).collect()
+    assert sorted((int(r.id), r.text, r.last) for r in found) == [
+        (i, t, "z") for i, t in enumerate(texts)
+    ]
+
+
+@pytest.mark.parametrize("spanning", [False, True])
+def test_blank_lines_before_the_header(spark, tmp_path, piece, spanning):
+    rows = [f"{i},text {i}" for i in range(40)]
+    rows[5:5] = ["", "  "]
+    if spanning:
+        rows[30] = '28,"a\nb"'
+    write(tmp_path, "t.csv", "\n  \nid,text", rows)
+    raw = csv_files.read_raw(spark, discover(spark, [str(tmp_path)]))
+    assert sorted(int(r.id) for r in raw.collect()) == list(range(40))
+
+
+def test_long_cells_and_headers_that_span_pieces(spark, tmp_path, piece):
+    long = "x\n" * 300
+    header = '"first\n' + "part, " * 60 + '",second'
+    write(tmp_path, "t.csv", header, [f'1,"{long}"', "2,b", f'3,"{long}"'])
+    (layout,) = csv_files.layouts(spark, discover(spark, [str(tmp_path)]))
+    assert layout.headers == ("first\n" + "part, " * 60, "second")
+    found = csv_files.scan(spark, layout, ["a", "b"]).collect()
+    assert sorted((r.a, r.b) for r in found) == [("1", long), ("2", "b"), ("3", long)]
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "1,2,", "1,2,,", "1,2,,LOST", '1,"2",""', ",,,"])
+@pytest.mark.parametrize("spanning", [False, True])
+def test_surplus_cells_fail_whatever_they_hold(spark, tmp_path, piece, row, spanning):
+    rows = ["1,2", "1", '"a\nb",c' if spanning else "a,c", *["7,8"] * 50, row]
+    write(tmp_path, "t.csv", "a,b", rows)
+    raw = csv_files.read_raw(spark, discover(spark, [str(tmp_path)]))
+    with pytest.raises(Exception, match="more cells than its header"):
+        raw.count()
+    write(tmp_path / "good", "t.csv", "a,b", rows[:-1])
+    good = csv_files.read_raw(spark, discover(spark, [str(tmp_path / "good")]))
+    assert good.count() == 53 and good.where("b is null").count() == 1
+
+
+def test_a_cell_that_is_never_closed_fails(spark, tmp_path, piece):
+    write(tmp_path, "t.csv", "a,b", ["1,2", '3,"open', *["4,5"] * 100])
+    with pytest.raises(Exception, match="never closed"):
+        csv_files.read_raw(spark, discover(spark, [str(tmp_path)])).count()
+    write(tmp_path / "h", "t.csv", 'a,"b', ["1,2"] * 100)
+    with pytest.raises(Exception, match="never closed"):
+        csv_files.read_raw(spark, discover(spark, [str(tmp_path / "h")])).count()
+
+
+def test_many_pieces_inside_cells_are_joined_by_a_shuffle(spark, tmp_path, piece, monkeypatch):
+    from lendscope.sources import spanning
+
+    monkeypatch.setattr(spanning, "MOST_BROADCAST", 0)
+    rows = [f'{i},"a\n{"long" * 40}\nb"' for i in range(30)]
+    write(tmp_path, "t.csv", "id,text", rows)
+    raw = csv_files.read_raw(spark, discover(spark, [str(tmp_path)]))
+    assert {r.id: r.text for r in raw.collect()} == {
+        str(i): "a\n" + "long" * 40 + "\nb" for i in range(30)
+    }
+
