@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import loans, raw_files
@@ -47,8 +47,12 @@ def _folder(application: str, spark: SparkSession, sf_dir: str) -> str:
 
 
 @cache
+def _clean_result(application: str, spark: SparkSession, sf_dir: str) -> jobs.CleanResult:
+    return jobs.clean_job(spark, candidates(spark, sf_dir), scratch_path(spark, "clean"))
+
+
 def _clean_path(application: str, spark: SparkSession, sf_dir: str) -> str:
-    return jobs.clean_job(spark, candidates(spark, sf_dir), scratch_path(spark, "clean")).path
+    return _clean_result(application, spark, sf_dir).path
 
 
 @cache
@@ -193,21 +197,55 @@ def _profile_sql() -> str:
     return _RAW + " UNION ALL ".join(lines)
 
 
+_PREVIEW_ROWS = 1000
+
+
 def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per program in the previews written, and the lowest and highest place."""
+    """What the written previews hold, per program, after writing them twice.
+
+    Rows are taken from the first of each file, so which loans are in a preview
+    depends on the files; that each is a whole prefix of its file is seen from the
+    scan, and the files' loans from the tables.
+    """
     folder = scratch_path(spark, "preview")
-    files = _files(spark, sf_dir)
-    rows = []
-    for layout in csv_files.layouts(spark, files):
+    for _ in range(2):
+        jobs.profile_job(spark, candidates(spark, sf_dir), folder, _PREVIEW_ROWS)
+    written = (
+        spark.read.options(header=True, quote='"', escape='"', multiLine=True)
+        .csv(folder)
+        .select(F.trim("Program").alias("program"), F.col("L2LocID").alias("loan_id"), "preview")
+    )
+    scanned = []
+    for layout in csv_files.layouts(spark, _files(spark, sf_dir)):
         raw = csv_files.scan(spark, layout, layout.headers, position=True)
-        rows.append(sinks.save_preview(raw, folder, 1000))
-    program = F.regexp_extract("source_path", r"program_(\w+)/", 1).alias("program")
-    per_file = csv_files.union_by_name(rows).groupBy(program, "source_path").agg(
-        F.count(F.lit(1)).alias("n"), F.min("place").alias("low"), F.max("place").alias("high")
+        scanned.append(
+            raw.select(
+                "L2LocID", "source_path", "block_start", "row_order",
+                sinks.preview_name("source_path").alias("preview"),
+            )
+        )
+    in_file = Window.partitionBy("source_path").orderBy("block_start", "row_order")
+    heads = (
+        csv_files.union_by_name(scanned)
+        .withColumn("place", F.row_number().over(in_file))
+        .where(F.col("place") <= _PREVIEW_ROWS)
+        .groupBy("preview")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("L2LocID").cast("long")).alias("mark"))
+    )
+    found = written.groupBy("preview").agg(
+        F.max("program").alias("program"),
+        F.count(F.lit(1)).alias("rows_written"),
+        F.sum(F.hash("loan_id").cast("long")).alias("written_mark"),
     )
-    return per_file.groupBy("program").agg(
-        F.bool_and((F.col("low") == 1) & (F.col("high") == F.col("n"))).alias("in_file_order"),
-        F.bool_and(F.col("n") <= 1000).alias("within_limit"),
+    return (
+        found.join(heads, "preview", "full")
+        .groupBy("program")
+        .agg(
+            F.bool_and(
+                (F.col("rows_written") == F.col("n")) & (F.col("written_mark") == F.col("mark"))
+            ).alias("heads_of_files"),
+            (F.max("rows_written") <= _PREVIEW_ROWS).alias("within_limit"),
+        )
     )
 
 
@@ -236,9 +274,7 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = csv_files.read_raw(spark, _files(spark, sf_dir))
-    texts = raw.transform(cleaning.trim_text).transform(cleaning.blank_to_null)
-    return cleaning.coercion_report(texts)
+    return _clean_result(spark.sparkContext.applicationId, spark, sf_dir).coercion_failures
 
 
 def _failures_sql() -> str:
@@ -246,6 +282,7 @@ def _failures_sql() -> str:
         "loan_amount": "mod(loan_id, 71) = 0",
         "approval_date": "mod(loan_id, 79) = 0",
     }
+    symbols = {"loan_amount": "mod(loan_id, 142) = 0"}
     counted = [
         "loan_amount", "approval_fiscal_year", "charge_off_amount", "jobs_supported",
         "as_of_date", "approval_date",
@@ -253,14 +290,13 @@ def _failures_sql() -> str:
     return _RAW + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, "
         f"COUNT(CASE WHEN {failed.get(c, 'FALSE')} THEN 1 END) AS failed_values, "
-        "CAST(0 AS BIGINT) AS failed_with_symbols FROM raw"
+        f"COUNT(CASE WHEN {symbols.get(c, 'FALSE')} THEN 1 END) AS failed_with_symbols FROM raw"
         for c in counted
     )
 
 
 def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = csv_files.read_raw(spark, _files(spark, sf_dir))
-    return profiling.run_summary(raw, cleaned(spark, sf_dir))
+    return _clean_result(spark.sparkContext.applicationId, spark, sf_dir).summary
 
 
 def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +306,11 @@ def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, notes = scratch_path(spark, "chunked"), scratch_path(spark, "notes")
     for _ in range(2):  # a second run finds nothing new
         load_in_chunks(spark, source, schema, target, notes, files_per_chunk=1)
-    return plain(measures.state_view(spark.read.parquet(target)))
+    loaded_rows = sinks.read_table_files(spark, target)
+    keys = loaded_rows.agg(F.count_distinct(ROW_KEY), F.count(F.lit(1))).head()
+    return plain(measures.state_view(loaded_rows)).withColumns(
+        {"distinct_keys": F.lit(keys[0]), "all_rows": F.lit(keys[1])}
+    )
 
 
 _PER_STATE = f"SELECT borrower_state, {FOUR} FROM {{}} WHERE borrower_state IS NOT NULL GROUP BY 1"
@@ -511,10 +551,17 @@ def queries() -> dict[str, Query]:
         ),
         "a7_preview": (
             _preview,
-            _RAW + "SELECT DISTINCT program, TRUE AS in_file_order, TRUE AS within_limit FROM raw",
+            _RAW + "SELECT DISTINCT program, TRUE AS heads_of_files, TRUE AS within_limit FROM raw",
         ),
         "a8_clean_csv_round_trip": (_csv_round_trip, cleaned_sql),
-        "a9_chunked_load": (_chunked, _EXPECTED + _PER_STATE.format("cleaned")),
+        "a9_chunked_load": (
+            _chunked,
+            _EXPECTED
+            + "SELECT *, (SELECT COUNT(*) FROM cleaned) AS distinct_keys, "
+            "(SELECT COUNT(*) FROM cleaned) AS all_rows FROM ("
+            + _PER_STATE.format("cleaned")
+            + ") AS per_state",
+        ),
         "a10_source_rows": (
             lambda spark, sf_dir: profiling.row_count(
                 csv_files.read_raw(spark, _files(spark, sf_dir))
@@ -612,6 +659,13 @@ def queries() -> dict[str, Query]:
         "h1_profile_files": (_profile_job, _profile_sql()),
         "h2_clean_files": (lambda spark, sf_dir: _clean_rows(cleaned(spark, sf_dir)), cleaned_sql),
         "h3_load_clean": (_loaded_clean, _EXPECTED + _PER_STATE.format("cleaned")),
+        "h3_load_clean_csv": (_loaded_csv, _EXPECTED + _PER_STATE.format("cleaned")),
+        "h4_view_job": (_viewed, _EXPECTED + _PER_STATE.format("cleaned")),
+        "a16_existence": (
+            _existence,
+            _RAW + "SELECT TRUE AS there, FALSE AS not_there, COUNT(*) > 0 AS has_rows, "
+            "COUNT(*) < 0 AS none_has_rows FROM raw",
+        ),
     }
     over = {
         "vw_state_funding": "d3_state_view",
@@ -628,3 +682,26 @@ def _loaded_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _clean_path(spark.sparkContext.applicationId, spark, sf_dir)
     result = jobs.load_files_job(spark, path, scratch_path(spark, "loaded"))
     return plain(measures.state_view(result.loans))
+
+
+def _loaded_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.save_clean(cleaned(spark, sf_dir), scratch_path(spark, "clean-csv"), "csv")
+    result = jobs.load_files_job(spark, path, scratch_path(spark, "loaded"), "csv")
+    return plain(measures.state_view(result.loans))
+
+
+def _viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned(spark, sf_dir).createOrReplaceTempView("clean_loans")
+    jobs.view_job(spark, "clean_loans")
+    return plain(spark.table("vw_state_funding"))
+
+
+def _existence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cleaned(spark, sf_dir)
+    rows.createOrReplaceTempView("clean_loans")
+    return rows.agg(
+        F.lit(sinks.table_exists(spark, "clean_loans")).alias("there"),
+        F.lit(sinks.table_exists(spark, "no_such_loans")).alias("not_there"),
+        (F.count(F.lit(1)) > 0).alias("has_rows"),
+        F.lit(sinks.has_rows(rows.where("loan_id IS NULL"))).alias("none_has_rows"),
+    )

@@ -83,8 +83,10 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number % 3 == 0, "\n").otherwise(" "),
         F.lit("Ltd"),
     )
-    amount = F.when(number % 71 == 0, F.lit("N.A.")).otherwise(
-        _money(F.col("loan_amount"), number)
+    amount = (
+        F.when(number % 142 == 0, F.lit("$N.A."))
+        .when(number % 71 == 0, F.lit("N.A."))
+        .otherwise(_money(F.col("loan_amount"), number))
     )
     approved = F.when(number % 79 == 0, F.lit("13/45/2001")).otherwise(
         _day(F.col("approval_date"), number)

@@ -98,37 +98,46 @@ def _coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: cells.to_type(F.col(c), LOAN_TYPES[c]) for c in found})
 
 
-def coercion_report(df: DataFrame) -> DataFrame:
+def coercion_report(df: DataFrame, copies: str | None = None) -> DataFrame:
     """Per number or date column still held as text, how many cells do not
     convert, and how many of those hold a currency, thousands or percent sign.
 
-    One pass and one row per task, whatever the number of columns.
+    One pass and one row per task, whatever the number of columns.  ``copies`` names
+    a column that says how many rows a row stands for.
     """
     texts = set(text_columns(df))
     found = [c for c in [*NUMERIC_COLUMNS, *DATE_COLUMNS] if c in texts]
 
+    def rows_where(condition: Column) -> Column:
+        if copies is None:
+            return F.count_if(condition)
+        return F.coalesce(F.sum(F.when(condition, F.col(copies))), F.lit(0))
+
     def line(name: str) -> Column:
         cell = F.col(name)
         failed = cells.coercion_failed(cell, cells.to_type(cell, LOAN_TYPES[name]))
         return F.struct(
             F.lit(name).alias("column_name"),
-            F.count_if(failed).alias("failed_values"),
-            F.count_if(failed & cells.has_symbols(cell)).alias("failed_with_symbols"),
+            rows_where(failed).alias("failed_values"),
+            rows_where(failed & cells.has_symbols(cell)).alias("failed_with_symbols"),
         )
 
     return df.agg(F.array(*[line(c) for c in found]).alias("lines")).select(F.inline("lines"))
 
 
+def tidy_text(raw: DataFrame) -> DataFrame:
+    """The steps of cleaning before duplicates go: trimmed text, nulls, one lender."""
+    return raw.transform(trim_text).transform(empty_to_null).transform(unify_lender)
+
+
+def to_types(texts: DataFrame) -> DataFrame:
+    """The steps of cleaning after duplicates are gone: numbers and dates."""
+    return texts.transform(coerce_numbers).transform(coerce_dates)
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """The whole chain, in the order that decides the result (H2 without its ends).
 
     Duplicates go before coercion, so ``1,000`` and ``1000`` are different rows.
     """
-    return (
-        raw.transform(trim_text)
-        .transform(empty_to_null)
-        .transform(unify_lender)
-        .transform(drop_duplicates)
-        .transform(coerce_numbers)
-        .transform(coerce_dates)
-    )
+    return raw.transform(tidy_text).transform(drop_duplicates).transform(to_types)

@@ -6,6 +6,7 @@ into one line per column at the end.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.model import POSITION, SOURCE_FILE
-from lendscope.session import scratch_path
 from lendscope.sources.csv_files import kind_of
 
 QUARTILES = (0.25, 0.5, 0.75)
+# A sketch places a rank to one part in so many, and brackets are a little wider.
+_SKETCH = 2000
+_BRACKET = 4 / _SKETCH
 
 
 def _lines(
@@ -49,22 +52,25 @@ def column_profile(df: DataFrame) -> DataFrame:
     return _lines(df, df.columns, line)
 
 
-def schema_report(raw: DataFrame) -> DataFrame:
+def schema_report(raw: DataFrame, headers: Sequence[str] | None = None) -> DataFrame:
     """Per file and column of raw text, the type it would get and what is missing.
 
-    ``raw`` comes from ``scan`` with positions.  All files of a header row are
-    profiled in one pass; the types are found in the same pass.
+    ``raw`` comes from ``scan`` with positions.  ``headers`` are the names to report,
+    whatever they hold and however often; without them the columns' own names are.
+    All files of a header row are profiled in one pass; the types are found in the
+    same pass.
     """
     columns = [c for c in raw.columns if c not in (SOURCE_FILE, *POSITION)]
+    shown = dict(zip(columns, headers or columns, strict=True))
 
     def line(position: int, name: str) -> Column:
         return F.struct(
             F.count(F.lit(1)).alias("row_count"),
             F.lit(len(columns)).alias("column_count"),
             F.lit(position).alias("column_position"),
-            F.lit(name).alias("column_name"),
-            kind_of(F.col(name)).alias("dtype"),
-            _missing(name).alias("missing_values"),
+            F.lit(shown[name]).alias("column_name"),
+            kind_of(F.col(f"`{name}`")).alias("dtype"),
+            _missing(f"`{name}`").alias("missing_values"),
         )
 
     places = {name: i for i, name in enumerate(columns)}
@@ -133,88 +139,84 @@ def numeric_stats(
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
-    """Exact quantiles of many columns, one row per column.
-
-    Spark's exact percentile brings all distinct values of a column into one
-    task.  Here the values are counted, the distinct ones are sorted across
-    tasks, and running totals of the tasks' counts say which tasks hold a wanted
-    rank; only inside those is a running total of single values made.
+    """Exact quantiles of many columns, one row per column that has values.
 
-    The sorted values are written to the shared folder, one folder per task:
-    two later steps must see the same cut, also when an executor is lost, and the
-    second reads only the folders it needs.
+    Spark's exact percentile brings all distinct values of a column into one task.
+    Here a first pass takes, from mergeable sketches, a narrow bracket of values
+    around each wanted rank; a second counts the values below and inside it, and
+    where the rank falls outside, the bracket is taken to be everything.  Only values
+    inside brackets, counted in each task first, are ever shuffled and ordered.
     """
     spark = df.sparkSession
-    line = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-        for c in columns
+    slots = [(c, float(f)) for c in columns for f in fractions]
+    parts = "".join(f", p{round(f * 100)} double" for f in fractions)
+    none = spark.createDataFrame([], f"column_name string{parts}")
+    if not slots:
+        return none
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    value_of = {c: F.col(f"v{i}") for i, c in enumerate(columns)}
+
+    def bracket(fraction: float) -> list[float]:
+        return [max(0.0, fraction - _BRACKET), min(1.0, fraction + _BRACKET)]
+
+    near = values.agg(
+        *[
+            F.percentile_approx(value_of[c], bracket(f), _SKETCH).alias(f"b{i}")
+            for i, (c, f) in enumerate(slots)
+        ],
+        *[F.count(value_of[c]).alias(f"n{i}") for i, c in enumerate(columns)],
+    ).first()
+    total = {c: near[f"n{i}"] for i, c in enumerate(columns)}
+    known = [(i, c, f, *near[f"b{i}"]) for i, (c, f) in enumerate(slots) if total[c]]
+    if not known:
+        return none
+
+    def inside(column: str, low: float, high: float) -> Column:
+        return (value_of[column] >= low) & (value_of[column] <= high)
+
+    held = values.agg(
+        *[F.count_if(value_of[c] < low).alias(f"b{i}") for i, c, _, low, _ in known],
+        *[F.count_if(inside(c, low, high)).alias(f"w{i}") for i, c, _, low, high in known],
+    ).first()
+    wanted = []
+    for i, c, f, low, high in known:
+        place = f * (total[c] - 1)
+        first, last = math.floor(place), math.ceil(place)
+        before, within = held[f"b{i}"], held[f"w{i}"]
+        if not before <= first <= last < before + within:
+            low, high, before = -math.inf, math.nan, 0
+        wanted.append((i, c, f, low, high, before, first, last, place - first))
+    spots = [
+        F.when(
+            value_of[c].isNotNull() if high != high else inside(c, low, high),
+            F.struct(F.lit(i).alias("slot"), value_of[c].alias("value")),
+        )
+        for i, c, _, low, high, *_ in wanted
     ]
     counted = (
-        df.select(F.inline(F.array(*line)))
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
+        values.select(F.inline(F.filter(F.array(*spots), lambda s: s.isNotNull())))
+        .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    path = scratch_path(spark, "sorted-values")
-    (
-        counted.repartitionByRange("column_name", "value")
-        .withColumn("part", F.spark_partition_id())
-        .write.partitionBy("part")
-        .parquet(path)
-    )
-    ordered = spark.read.schema("column_name string, value double, n long, part int").parquet(path)
-
-    in_order = Window.partitionBy("column_name").orderBy("part")
-    parts = (
-        ordered.groupBy("column_name", "part")
-        .agg(F.sum("n").alias("held"))
-        .withColumn("through", F.sum("held").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("held").over(Window.partitionBy("column_name")))
+    in_order = Window.partitionBy("slot").orderBy("value")
+    through = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    # One row per column and fraction, so safe to broadcast.
+    ranks = spark.createDataFrame(
+        [(i, c, f, before, first, last, float(weight)) for i, c, f, _, _, before, first, last, weight in wanted],
+        "slot int, column_name string, fraction double, before long, low long, high long, weight double",
     )
-    # A fraction falls between the values of two ranks, counted from 0.
-    spots = F.array(*[F.struct(F.lit(f).alias("fraction")) for f in fractions])
-    place = F.col("fraction") * (F.col("total") - 1)
-    ranked = parts.select(
-        "column_name", "part", (F.col("through") - F.col("held")).alias("before"), "through",
-        "total", F.inline(spots),
-    ).select(
-        "column_name", "part", "before", "through", "fraction",
-        F.floor(place).alias("low"), F.ceil(place).alias("high"),
-        (place - F.floor(place)).alias("weight"),
-    )
-
-    def within(rank: Column, start: Column, end: Column) -> Column:
-        return (rank >= start) & (rank < end)
-
-    held = [within(F.col(r), F.col("before"), F.col("through")) for r in ("low", "high")]
-    wanted = (
-        ranked.where(held[0] | held[1])
-        .groupBy("column_name", "part", "before")
-        .agg(F.collect_list(F.struct("fraction", "low", "high", "weight")).alias("spots"))
-    )
-
-    by_value = Window.partitionBy("column_name", "part").orderBy("value")
-    so_far = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
-    end = F.col("before") + F.col("so_far")
-    start = end - F.col("n")
+    end = F.col("before") + F.col("through")
 
-    def here(spot: Column) -> Column:
-        return within(spot["low"], start, end) | within(spot["high"], start, end)
+    def at(rank: str) -> Column:
+        holds = (F.col(rank) < end) & (F.col(rank) >= end - F.col("n"))
+        return F.max(F.when(holds, F.col("value"))).alias(rank)
 
     found = (
-        # At most two rows per column and fraction, so safe to broadcast.
-        ordered.join(F.broadcast(wanted), ["column_name", "part"])
-        .withColumn("so_far", so_far)
-        .select("column_name", "value", start.alias("start"), end.alias("end"),
-                F.inline(F.filter("spots", here)))
+        counted.withColumn("through", through)
+        .join(F.broadcast(ranks), "slot")
         .groupBy("column_name", "fraction", "weight")
-        .agg(
-            *[
-                F.max(F.when(within(F.col(r), F.col("start"), F.col("end")), F.col("value"))).alias(r)
-                for r in ("low", "high")
-            ]
-        )
-    )
+        .agg(at("low"), at("high"))
+    )
     value = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
     return found.groupBy("column_name").agg(
         *[
@@ -224,19 +226,16 @@ def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float])
     )
 
 
-def run_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def run_summary(counted: DataFrame, column_count: int) -> DataFrame:
     """One row with rows, columns and duplicates removed by a cleaning run.
 
-    Both sides are counted from stored data, not by counters inside the run,
-    which count again when a task is repeated.
+    ``counted`` are the stored rows without duplicates, with how often each occurred
+    in ``copies``: not counters inside the run, which count again when a task is
+    repeated.
     """
-    sides = [
-        side.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
-        for name, side in (("raw", raw), ("cleaned", cleaned))
-    ]
-    rows = {name: F.sum(F.when(F.col("side") == name, F.col("n"))) for name in ("raw", "cleaned")}
-    return sides[0].unionByName(sides[1]).agg(
-        rows["cleaned"].alias("row_count"),
-        F.lit(len(cleaned.columns)).alias("column_count"),
-        (rows["raw"] - rows["cleaned"]).alias("duplicate_rows_removed"),
+    rows = F.count(F.lit(1))
+    return counted.agg(
+        rows.alias("row_count"),
+        F.lit(column_count).alias("column_count"),
+        (F.coalesce(F.sum("copies"), F.lit(0)) - rows).alias("duplicate_rows_removed"),
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,8 @@ from lendscope.model import (
     SOURCE_FILE,
 )
 from lendscope.operators.conform import conform
+from lendscope.sources import csv_files
+from lendscope.sources.discover import list_files
 
 YEAR, STATE, INDUSTRY = "approval_fiscal_year", "borrower_state", "naics_code"
 TABLE_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType()), *LOAN_SCHEMA.fields])
@@ -55,18 +59,43 @@ def first_rows(raw: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     )
 
 
-def save_preview(raw: DataFrame, folder: str, n: int = PREVIEW_ROWS) -> DataFrame:
-    """Write the first rows of every file to ``folder/preview=<file>``, as CSV.
+def distinct_names(headers: Sequence[str]) -> list[str]:
+    """The headers, with numbers behind those that differ from an earlier one in case or not at all."""
+    taken: set[str] = set()
+    names = []
+    for header in headers:
+        name, number = header, 0
+        while name.lower() in taken:
+            number += 1
+            name = f"{header}.{number}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def preview_name(path: str) -> Column:
+    """Name of a file's preview: the file's own without ending, and a mark of its full path."""
+    stem = F.regexp_extract(F.url_decode(path), r"([^/]*?)(\.[^./]*)?$", 1)
+    return F.concat_ws("-", stem, F.substring(F.md5(path), 1, 8))
 
-    Returns the preview rows.
+
+def save_preview(
+    raw: DataFrame, folder: str, n: int = PREVIEW_ROWS, headers: Sequence[str] | None = None
+) -> DataFrame:
+    """Write the first rows of every file to ``folder/preview=<name>``, as CSV.
+
+    Previews of the same file are replaced, others stay.  ``headers`` are written in
+    place of the columns' own names.  Returns the preview rows.
     """
     rows = first_rows(raw, n)
-    name = F.regexp_replace(SOURCE_FILE, r"\.[^.]*$", "")
+    columns = [c for c in raw.columns if c not in (SOURCE_FILE, *POSITION)]
+    names = distinct_names(headers or columns)
     (
-        rows.withColumn("preview", name)
+        rows.withColumn("preview", preview_name(POSITION[0]))
         .sortWithinPartitions("preview", POSITION[0], "place")
-        .drop(SOURCE_FILE, "place", *POSITION)
-        .write.mode("append")
+        .select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)], "preview")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("preview")
         .options(**_CSV)
         .csv(folder)
@@ -75,11 +104,13 @@ def save_preview(raw: DataFrame, folder: str, n: int = PREVIEW_ROWS) -> DataFram
 
 
 def save_clean(df: DataFrame, path: str, form: str = "parquet") -> str:
-    """Write a cleaned dataset; dates are ISO text where the form has no dates."""
+    """Write a cleaned dataset in place of an old one; dates are ISO text where the form
+    has no dates."""
+    writer = df.write.mode("overwrite")
     if form == "csv":
-        df.write.options(**_CSV).csv(path)
+        writer.options(**_CSV).csv(path)
     else:
-        df.write.format(form).save(path)
+        writer.format(form).save(path)
     return path
 
 
@@ -88,9 +119,14 @@ def read_clean(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
 
     Text files come back as text; ``conform`` gives them their types.
     """
-    if form == "csv":
-        return spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
-    return spark.read.format(form).load(path)
+    if form != "csv":
+        return spark.read.format(form).load(path)
+    frames = []
+    for layout in csv_files.layouts(spark, list_files(spark, path)):
+        cells = [f"cell_{i}" for i in range(len(layout.headers))]
+        scanned = csv_files.scan(spark, layout, cells)
+        frames.append(scanned.select(*[F.col(c).alias(h) for c, h in zip(cells, layout.headers)]))
+    return csv_files.union_by_name(frames)
 
 
 def arrange(loans: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lendscope.model import NA_TOKENS, PREVIEW_ROWS
 from lendscope.operators import cleaning, conform, profiling, sinks, views
-from lendscope.session import sized_shuffles
+from lendscope.session import scratch_path, sized_shuffles
 from lendscope.sources import csv_files
 from lendscope.sources.discover import discover, list_files, require
 
@@ -34,22 +35,40 @@ def profile_job(
     files = require(discover(spark, candidates), candidates)
     reports = []
     for layout in csv_files.layouts(spark, files, line_breaks):
-        raw = csv_files.scan(spark, layout, layout.headers, position=True)
-        sinks.save_preview(raw, preview_folder, preview_rows)
-        reports.append(profiling.schema_report(cleaning.null_out_tokens(raw, NA_TOKENS)))
+        cells = [f"cell_{i}" for i in range(len(layout.headers))]
+        raw = csv_files.scan(spark, layout, cells, position=True)
+        sinks.save_preview(raw, preview_folder, preview_rows, layout.headers)
+        texts = cleaning.null_out_tokens(raw, NA_TOKENS)
+        reports.append(profiling.schema_report(texts, layout.headers))
     return csv_files.union_by_name(reports)
 
 
-@dataclass(frozen=True)
 class CleanResult:
-    """What a cleaning run wrote, and reports about it."""
+    """What a cleaning run wrote, and reports about it, each made when first asked for."""
+
+    def __init__(self, path: str, cleaned: DataFrame, counted: DataFrame, exact_quartiles: bool):
+        self.path, self.cleaned = path, cleaned
+        self._counted, self._exact = counted, exact_quartiles
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """D19."""
+        return profiling.run_summary(self._counted, len(self.cleaned.columns))
 
-    path: str
-    cleaned: DataFrame
-    summary: DataFrame
-    null_percentages: DataFrame
-    numeric_stats: DataFrame
-    coercion_failures: DataFrame
+    @cached_property
+    def null_percentages(self) -> DataFrame:
+        """D17."""
+        return profiling.null_percentages(self.cleaned)
+
+    @cached_property
+    def numeric_stats(self) -> DataFrame:
+        """D18; exact quartiles take two passes before this one."""
+        return profiling.numeric_stats(self.cleaned, exact=self._exact)
+
+    @cached_property
+    def coercion_failures(self) -> DataFrame:
+        """C5, C6."""
+        return cleaning.coercion_report(self._counted, "copies")
 
 
 def clean_job(
@@ -59,24 +78,20 @@ def clean_job(
     line_breaks: str = "check",
     exact_quartiles: bool = True,
 ) -> CleanResult:
-    """H2: read all raw files, clean them, write Parquet, and report on the result.
+    """H2: read all raw files, clean them, write Parquet in place of old output, and report.
 
-    The reports are lazy; each is computed when asked.
+    The files are parsed once: the rows without duplicates, still as text and with
+    how often each occurred, are stored in the shared folder; the clean data and the
+    reports come from those.
     """
     files = require(discover(spark, candidates), candidates)
     raw = csv_files.read_raw(spark, files, line_breaks=line_breaks)
+    stored = scratch_path(spark, "deduplicated")
     with sized_shuffles(spark, sum(f.length for f in files)):
-        sinks.save_clean(cleaning.clean(raw), output)
-    cleaned = sinks.read_clean(spark, output)
-    texts = raw.transform(cleaning.trim_text).transform(cleaning.empty_to_null)
-    return CleanResult(
-        path=output,
-        cleaned=cleaned,
-        summary=profiling.run_summary(raw, cleaned),
-        null_percentages=profiling.null_percentages(cleaned),
-        numeric_stats=profiling.numeric_stats(cleaned, exact=exact_quartiles),
-        coercion_failures=cleaning.coercion_report(texts),
-    )
+        cleaning.copy_counts(cleaning.tidy_text(raw)).write.parquet(stored)
+    counted = spark.read.parquet(stored)
+    sinks.save_clean(cleaning.to_types(counted.drop("copies")), output)
+    return CleanResult(output, sinks.read_clean(spark, output), counted, exact_quartiles)
 
 
 @dataclass(frozen=True)

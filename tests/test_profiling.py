@@ -55,6 +55,18 @@ def test_exact_quantiles(numbers):
             assert found[column][f"p{round(q * 100)}"] == pytest.approx(expected, rel=1e-12)
 
 
+def test_quantiles_outside_their_brackets(numbers, monkeypatch):
+    """Brackets that miss the rank are taken to be everything."""
+    frame, df = numbers
+    monkeypatch.setattr(profiling, "_SKETCH", 2)
+    monkeypatch.setattr(profiling, "_BRACKET", 0.0)
+    found = profiling.quantiles(df, ["skewed", "gaps", "whole"], [0.1, 0.5, 0.9])
+    for row in found.collect():
+        for q in (0.1, 0.5, 0.9):
+            expected = frame[row.column_name].quantile(q)
+            assert row[f"p{round(q * 100)}"] == pytest.approx(expected, rel=1e-12)
+
+
 def test_approximate_stats_take_one_pass(numbers):
     frame, df = numbers
     stats = profiling.numeric_stats(df, ["whole"], exact=False)
@@ -77,7 +89,7 @@ def test_nulls_and_duplicates(spark):
     assert shares == [("n", 75.0), ("t", 25.0)]
     assert cleaning.duplicate_count(df).first().duplicate_rows == 1
     assert cleaning.drop_duplicates(df).count() == 3
-    summary = profiling.run_summary(df, cleaning.drop_duplicates(df)).first()
+    summary = profiling.run_summary(cleaning.copy_counts(df), len(df.columns)).first()
     assert tuple(summary) == (3, 2, 1)
 
 

@@ -179,7 +179,10 @@ def test_chunked_load_goes_on_where_it_stopped(spark, folder, tmp_path):
             cleaned.limit(2).write.mode("append").parquet(source)
         load_in_chunks(spark, source, cleaned.schema, target, notes, files_per_chunk=1)
         load_in_chunks(spark, source, cleaned.schema, target, notes, bytes_per_chunk=1000)
-        assert spark.read.parquet(target).count() == 9 + 2 * extra
+        loaded = sinks.read_table_files(spark, target)
+        assert loaded.count() == loaded.select("loan_row_id").distinct().count() == 9 + 2 * extra
+    with pytest.raises(ValueError):
+        load_in_chunks(spark, source, cleaned.schema, target, notes)
 
 
 def test_tokens_are_null_and_others_are_not(spark, tmp_path):
@@ -252,7 +255,7 @@ def test_preview_is_the_head_of_every_file(spark, tmp_path):
     assert lines["a.csv", "id"].row_count == 3000 and lines["a.csv", "id"].dtype == "bigint"
     assert lines["b.csv", "text"].dtype == "string" and lines["b.csv", "text"].column_count == 2
     for name, n in (("a", 500), ("b", 10)):
-        parts = sorted((tmp_path / "pre" / f"preview={name}").glob("*.csv"))
+        parts = sorted((tmp_path / "pre").glob(f"preview={name}-*/*.csv"))
         assert len(parts) == 1
         text = parts[0].read_text().splitlines()
         assert text == ["id,text", *[f"{i},row {i}" for i in range(n)]]
@@ -395,3 +398,29 @@ def test_many_pieces_inside_cells_are_joined_by_a_shuffle(spark, tmp_path, piece
         str(i): "a\n" + "long" * 40 + "\nb" for i in range(30)
     }
 
+
+
+@pytest.mark.parametrize("header", ["Loan No.,b", "Name,Name", "Name,NAME", '"a,b","x`y"', "b c,%;"])
+def test_any_header_is_profiled_and_previews_are_replaced(spark, tmp_path, header):
+    for folder in ("one", "two"):
+        write(tmp_path / folder, "x.csv", header, [f"{i},{folder}" for i in range(30)])
+    for _ in range(2):
+        report = jobs.profile_job(
+            spark, [[f"{tmp_path}/one/x.csv", f"{tmp_path}/two/x.csv"]], str(tmp_path / "pre"), 10
+        ).collect()
+    assert len(report) == 4 and {r.row_count for r in report} == {30}
+    (first,) = csv_files.layouts(spark, discover(spark, [f"{tmp_path}/one/*.csv"]))
+    assert [r.column_name for r in sorted(report, key=lambda r: r.column_position)][::2] == list(
+        first.headers
+    )
+    previews = sorted((tmp_path / "pre").glob("preview=x-*"))
+    assert len(previews) == 2
+    for folder in previews:
+        (part,) = folder.glob("*.csv")
+        assert len(part.read_text().splitlines()) == 11
+
+
+def test_cleaning_twice_replaces_the_output(spark, folder, tmp_path):
+    for _ in range(2):
+        result = jobs.clean_job(spark, [str(folder)], str(tmp_path / "clean"))
+        assert result.cleaned.count() == 9
