@@ -100,6 +100,27 @@ def _raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("row_count"), *_counts(_TEXTS))
 
 
+def _scan_in_pieces(way: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The scan of files that are read in one way, cut into small pieces."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = raw_files.write(spark, sf_dir, line_breaks=way == csv_files.JOINED)
+        setting = "spark.sql.files.maxPartitionBytes"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "64k")
+        try:
+            files = discover(spark, [f"{folder}/program_*"])
+            assert {x.way for x in csv_files.layouts(spark, files)} == {way}
+            raw = csv_files.read_raw(spark, files)
+            counts = raw.agg(F.count(F.lit(1)).alias("row_count"), *_counts(_TEXTS))
+            # Computed here, while pieces are small: one row of counts.
+            return spark.createDataFrame(counts.collect(), counts.schema)
+        finally:
+            spark.conf.set(setting, before)
+
+    return run
+
+
 def _read_sql(column: str) -> str:
     return f"COUNT(CASE WHEN {column} IS NOT NULL OR NOT {_READ_AS_NULL} THEN 1 END) AS {column}"
 
@@ -213,7 +234,7 @@ def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = (
         spark.read.options(header=True, quote='"', escape='"', multiLine=True)
         .csv(folder)
-        .select(F.trim("Program").alias("program"), F.col("L2LocID").alias("loan_id"), "preview")
+        .select(cells.strip(F.col("Program")).alias("program"), F.col("L2LocID").alias("loan_id"), "preview")
     )
     scanned = []
     for layout in csv_files.layouts(spark, _files(spark, sf_dir)):
@@ -539,6 +560,16 @@ def queries() -> dict[str, Query]:
             _raw_scan,
             _RAW + "SELECT COUNT(*) AS row_count, " + ", ".join(map(_read_sql, _TEXTS)) + " FROM raw",
         ),
+        **{
+            f"a4_text_scan_{way}": (
+                _scan_in_pieces(way),
+                _RAW
+                + "SELECT COUNT(*) AS row_count, "
+                + ", ".join(map(_read_sql, _TEXTS))
+                + " FROM raw",
+            )
+            for way in (csv_files.CUT, csv_files.JOINED)
+        },
         "a5_source_file": (
             lambda spark, sf_dir: csv_files.read_raw(spark, _files(spark, sf_dir))
             .groupBy(cells.strip(F.col("program")).alias("program"))

@@ -124,10 +124,12 @@ _BANK_ONLY = ["ThirdPartyLender_Name", "CDC_Name"]
 _OTHER_SPELLING = {"BorrState": "BORRSTATE", "GrossApproval": "Gross Approval"}
 
 
-def write(spark: SparkSession, sf_dir: str) -> str:
+def write(spark: SparkSession, sf_dir: str, line_breaks: bool = True) -> str:
     """Write the raw files of both programs under a new folder and return it."""
     folder = scratch_path(spark, "raw")
     rows = raw_rows(spark, sf_dir)
+    if not line_breaks:
+        rows = rows.withColumn("BorrName", F.translate("BorrName", "\n", " "))
     programs = {
         "7A": rows.drop(*_BANK_ONLY),
         "504": rows.withColumnsRenamed(_OTHER_SPELLING),
