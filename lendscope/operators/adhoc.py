@@ -175,8 +175,11 @@ def guarded_sql(
 def result_preview(result: DataFrame, n: int = RESULT_PREVIEW_ROWS) -> DataFrame:
     """One row that sums a result up in a sentence.
 
-    An action: counts the result and fetches its first ``n`` rows.
+    An action: counts the result and fetches its first ``n`` rows.  These are two
+    runs on purpose: counting needs no order and no columns, and the first rows need
+    not the rest; one run for both would keep the whole result.
     """
+    # The sentences of the summary.
     rows = result.count()
     top = [_plain(row.asDict()) for row in result.head(n)]
     if not rows:

@@ -45,6 +45,7 @@ _CONTENT = "array<struct<type: string, text: string>>"
 def without_fence(text: Column) -> Column:
     """The text without a Markdown code fence around it."""
     bare = strip(text)
+    # The patterns of a fence's first and last line.
     opened = F.regexp_replace(bare, r"(?U)^```[a-zA-Z0-9_-]*\s*", "")
     inside = F.regexp_replace(opened, r"(?U)\s*```$", "")
     return strip(F.when(bare.startswith("```"), inside).otherwise(bare))
