@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,33 @@ from lendscope.session import scratch_path
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows of texts handed to Python at once; long texts are whole, so this bounds a batch.
-TEXT_ROWS = 512
+TEXT_ROWS = 256
+#: Entries of the table of word hashes that a Python worker keeps.
+_HASHES_KEPT = 250_000
+
+
+class _WordHashes(dict):
+    """Word: 64-bit hash; forgets all when it has grown too large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _HASHES_KEPT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+word_hashes = _WordHashes()
+_holder: list[tuple[str, Callable[[], object]]] = [("hashes", word_hashes.clear)]
+
+
+def hold(name: str, forget: Callable[[], object]) -> None:
+    """Say whose tables a Python worker keeps from now on; those of another are forgotten.
+
+    Workers live on from stage to stage, and would else keep the tables of each.
+    """
+    if _holder[0][0] != name:
+        _holder[0][1]()
+        _holder[:] = [(name, forget)]
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

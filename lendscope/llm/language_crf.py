@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import with_row, with_texts
+from lendscope.llm.common import hold, with_row, with_texts
 
 #: Labelled documents of each language to learn from, about.
 TRAINING_DOCUMENTS = 400
@@ -32,7 +32,7 @@ MOST_LANGUAGES = 250
 UNKNOWN = "und"
 _TABLE_BITS = 15
 _BLOCK = 256
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 250_000
 _LONGEST = 128
 _DRAW = 1 << 20
 
@@ -339,6 +339,7 @@ _kept: list[tuple[bytes, _Scores]] = []
 
 
 def _scores(model: Model) -> _Scores:
+    hold("languages", _kept.clear)
     key = model.weights.tobytes()[:: 1 << 10] + repr(model.languages).encode()
     if not _kept or _kept[0][0] != key:
         _kept[:] = [(key, _Scores(model))]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ready, stored
+from lendscope.llm.common import hold, ready, stored, word_hashes
 from lendscope.llm.components import merge
 
 #: Coordinates of a signature, and how many of them, the first ones, have lists.
@@ -36,25 +36,11 @@ SLACK = 4.75
 #: Lists of more members have a pivot.
 SHORT = 8
 PIVOT_ROUNDS = 2
-_WORDS_KEPT = 400_000
 _BITS = (1 << 22) + 15
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _LONE = np.uint64(0xD6E8FEB86659FD93)
 
 
-class _WordHashes(dict):
-    """Word: 64-bit hash; forgets all when it has grown too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _PAIR
     return values ^ (values >> np.uint64(29))
@@ -70,7 +56,7 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    each = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    each = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     size = min(width, len(words))
     ends = len(words) - size + 1
     # A shorter sequence starts from another constant: it equals no full shingle.
@@ -101,6 +87,7 @@ def signature(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int):
+    hold("hashes", word_hashes.clear)
     factors = _multipliers(coordinates)
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -139,6 +126,7 @@ def _marked(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, marks: np.ndarray, short: bool):
+    hold("hashes", word_hashes.clear)
     for batch in batches:
         ids = batch.column(0).fill_null(0).to_numpy()
         batch = batch.filter(pa.array(marks[np.mod(ids, _BITS)]))

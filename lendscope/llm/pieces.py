@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ready
+from lendscope.llm.common import hold, ready
 
 MARK = "▁"
 #: Scores below this mark pieces that are not meant to be produced.
 LEAST_SCORE = -1e8
 #: An unknown character costs this much more than the rarest single character.
 UNKNOWN_COST = 10.0
-_UNITS_KEPT = 300_000
+_UNITS_KEPT, _OTHERS_KEPT = 200_000, 20_000
 _CELLS = 100_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 _STEP = np.uint64(1_000_003)
@@ -260,6 +260,8 @@ class Encoder:
     def _learn(self, units: set[str]) -> None:
         if len(self.rows) > _UNITS_KEPT:
             self.clear()
+        if len(self.others) > _OTHERS_KEPT:
+            self.others.clear()
         new = sorted(units.difference(self.rows), key=len)
         start = 0
         paths: list[list[int]] = []
@@ -350,6 +352,7 @@ _encoders: dict[tuple[bytes, int], Encoder] = {}
 
 
 def _encoder(content: bytes, n: int) -> Encoder:
+    hold("pieces", _encoders.clear)
     if (content, n) not in _encoders:
         _encoders.clear()
         _encoders[content, n] = Encoder(content, n)

@@ -10,11 +10,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import with_row, with_texts
+from lendscope.llm.common import hold, with_row, with_texts, word_hashes
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -35,7 +34,6 @@ RATIOS = (
     ("distinct_share", "n_distinct_words", "n_words"),
     ("repeat_share", "n_repeat_words", "n_words"),
 )
-_WORDS_KEPT = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,17 +53,6 @@ _CLASSES = {
 }
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
-
-
 def _class_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     ends = np.cumsum([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -78,7 +65,7 @@ def _class_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 def _repeated(words: list[bytes]) -> tuple[int, int]:
     """Distinct words; words inside windows of three that occur twice or more."""
-    each = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    each = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     distinct = len(set(words))
     if len(words) < 4 or distinct == len(words):
         return distinct, 0
@@ -97,6 +84,7 @@ def _repeated(words: list[bytes]) -> tuple[int, int]:
 
 def count_all(texts: list[str | None]) -> dict[str, np.ndarray]:
     """The counts named in COUNTS for each text; all 0 for null."""
+    hold("hashes", word_hashes.clear)
     raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     found = _class_counts(raw)
     found["word_chars"] = found["n_chars"] - found.pop("spaces")

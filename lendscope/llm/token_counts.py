@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ready
+from lendscope.llm.common import hold, ready
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: Longer than a special token's text and what the split looks ahead.
 LOOK_AHEAD = 16
-_PIECES_KEPT = 400_000
+_PIECES_KEPT = 300_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD_SPACE = re.compile(r"\s | \s")
 
@@ -40,13 +40,18 @@ _tokenizers: dict[str, object] = {}
 _counts: dict[str, dict[str, int]] = {}
 
 
+def _forget() -> None:
+    _tokenizers.clear()
+    _counts.clear()
+
+
 def _tokenizer(content: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    hold("tokens", _forget)
     if content not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers.clear()
-        _counts.clear()
+        _forget()
         made = Tokenizer.from_str(content)
         made.no_truncation()
         made.no_padding()
