@@ -8,9 +8,10 @@ with it in each of 128 bands with a chance of 1 in 8 or more, so that one in 20
 million is missed at most.  Matches are then verified exactly, by the share of the
 template's shingles that the window holds.
 
-Before windows are cut, documents are left out that lack every anchor.  Anchors are
-words such that each shingle of each template holds one, so a document without any
-holds no shingle of any template: nothing can be missed by that.
+Before windows are cut, documents are left out that hold no shingle of any template,
+in which nothing can be found.  Most of those are seen from their words already: they
+lack every anchor, and anchors are words such that each shingle of each template holds
+one.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ NOTICES = {
 }
 WIDTH, PERCENT, BANDS = 5, 80, 128
 #: Templates and their words are broadcast; more are an error.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 50_000
 _SEPARATOR = "[^a-z0-9\\u0080-\\uffff]+"
 
 
@@ -96,11 +97,16 @@ def anchors(notices: Mapping[str, str], width: int = WIDTH) -> list[str]:
 
 def shingles_of(words: Column, width: int = WIDTH) -> Column:
     """Distinct 64-bit hashes of the word shingles of an array of at least one shingle."""
+    return F.array_distinct(hashed_shingles(words, width))
+
+
+def hashed_shingles(words: Column, width: int = WIDTH) -> Column:
+    """The hash of every word shingle of an array, in order."""
     starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
     hashed = F.transform(
         starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(words, i, width)))
     )
-    return F.array_distinct(F.when(F.size(words) >= width, hashed).otherwise(F.array()))
+    return F.when(F.size(words) >= width, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
 def _bands(shingles: Column, bands: int) -> Column:
@@ -176,11 +182,16 @@ def scan(
     known = templates(spark, notices, bands)
     sizes = sorted(set(_classes(notices).values()))
     needed = F.array(*[F.lit(w) for w in anchors(notices)])
+    # Templates are bounded, and so are their shingles.
+    wanted = F.lit(sorted({x for r in known.select("wanted").collect() for x in r[0]}))
+    # The generator keeps Spark from cutting a text anew wherever its words are used.
     texts = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
-        words_of(F.col(text_column).cast("string")).alias("words"),
+        F.explode(F.array(words_of(F.col(text_column).cast("string")))).alias("words"),
+    )
+    holding = texts.where(F.arrays_overlap("words", needed)).where(
+        F.arrays_overlap(hashed_shingles(F.col("words")), wanted)
     )
-    holding = texts.where(F.arrays_overlap("words", needed))
 
     def cut(size: int) -> Column:
         last = F.greatest(F.size("words") - F.lit(1), F.lit(0))
@@ -200,8 +211,8 @@ def scan(
         "first_word",
         "window",
         F.size("part").alias("n_words"),
-        shingles_of(F.col("part")).alias("shingles"),
-    ).where(F.size("shingles") > 0)
+        F.explode(F.array(shingles_of(F.col("part")))).alias("shingles"),
+    ).where(F.arrays_overlap("shingles", wanted))
     posted = signed.withColumn("b", F.explode(_bands(F.col("shingles"), bands)))
     # Templates are of bounded size, one row a band.
     posts = F.broadcast(
