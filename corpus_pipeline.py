@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscope.llm import language_crf, mixing, pieces, rule_quality
@@ -34,16 +34,83 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where("predicted = 1").select("row.*")
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own (``row_key``), stored so that it stays the same."""
+    keyed = docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id())
+    return stored(keyed, "row-keys")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by shingles of five words."""
-    kept = near_duplicates(docs, width=5).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group of near copies, by shingles of five words.
+
+    Rows are told apart by a key of their own, so ids need not be there or differ: rows
+    with a null id are documents like others, and of rows that share an id each is a
+    document.  Of a group the row with the smallest (doc_id, text) stays, where a null id
+    comes last.  A text without words is near no other; of its rows with one id that is
+    not null and one text a single one stays.
+    """
+    rows = with_row_keys(docs)
+    found = near_duplicates(rows, id_column="row_key", width=5).select(
+        F.col("doc_id").alias("row_key"), "component_id"
+    )
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    text = F.coalesce(F.concat(F.lit("="), "text"), F.lit(""))
+    lone = F.when(wordless, F.concat(F.lit("="), F.col("doc_id").cast("string"), F.lit(":"), text))
+    placed = stored(
+        rows.select("row_key", "doc_id", lone.alias("lone"))
+        .join(found, "row_key")
+        .select(
+            "row_key",
+            "doc_id",
+            F.coalesce("lone", F.col("component_id").cast("string")).alias("group"),
+        ),
+        "near-groups",
+    )
+    # Only where rows of a group share its smallest id are texts compared.
+    by_id = placed.groupBy("group", "doc_id").agg(
+        F.count("*").alias("n"), F.min("row_key").alias("row_key")
+    )
+    order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "n", "row_key")
+    first = stored(
+        by_id.groupBy("group").agg(F.min(order).alias("first")).select("group", "first.*"),
+        "near-firsts",
+    )
+    kept = first.where("n = 1").select("row_key")
+    tied = first.where("n > 1").select(
+        F.col("group").alias("tied_group"), F.col("doc_id").alias("tied_id")
+    )
+    if tied.head(1):
+        tying = placed.join(
+            tied,
+            (F.col("group") == F.col("tied_group"))
+            & F.col("doc_id").eqNullSafe(F.col("tied_id")),
+        ).select("row_key", "group")
+        texts = F.struct("text", "lang", "source", "n_chars", "row_key")
+        kept = kept.union(
+            rows.join(tying, "row_key")
+            .groupBy("group")
+            .agg(F.min(texts).alias("first"))
+            .select("first.row_key")
+        )
+    return rows.join(kept, "row_key", "left_semi").select(*COLUMNS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many tokens as before, sources at evened shares; a row for each time one is taken."""
-    taken = mixing.mix(docs).select(F.col("doc_id").alias("taken_id"))
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("taken_id"))).select(*COLUMNS)
+    """As many tokens as before, sources at evened shares; a row for each time one is taken.
+
+    Rows are drawn by a hash of id and text, so ids need not be there or differ; rows
+    that are equal in both are told apart by their number.
+    """
+    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    taken = mixing.mix(rows, id_column="row_key").select(
+        F.col("doc_id").alias("row_key"), "copy"
+    )
+    # The order in which mix numbers copies; what ties in it is of one source and size.
+    numbered = Window.partitionBy("row_key").orderBy(
+        "source", mixing.word_count("text"), "doc_id", "text", "lang", "n_chars"
+    )
+    copies = rows.withColumn("copy", (F.row_number().over(numbered) - 1).cast("int"))
+    return copies.join(taken, ["row_key", "copy"]).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

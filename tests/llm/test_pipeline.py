@@ -74,3 +74,44 @@ def test_encoding_is_whole(steps):
 
 def test_run_gives_the_last_stage(spark):
     assert pipeline.run(spark, TABLES).columns[:2] == ["doc_id", "n_pieces"]
+
+
+def _documents(spark, rows):
+    given = [(i, text, "en", source, len(text or "")) for i, text, source in rows]
+    kinds = "doc_id long, text string, lang string, source string, n_chars int"
+    return spark.createDataFrame(given, kinds)
+
+
+def _prose(word, count=40):
+    return " ".join(f"{word}{k}" for k in range(count))
+
+
+def test_null_and_shared_ids_stay(spark):
+    near = _prose("a") + " more"
+    rows = [
+        (None, _prose("n"), "x"), (None, _prose("m"), "x"), (None, _prose("m"), "x"),
+        (None, _prose("a"), "x"), (3, near, "x"), (7, _prose("z"), "x"), (7, _prose("b"), "x"),
+        (8, _prose("c") + " v", "x"), (8, _prose("c") + " u", "x"), (9, " ", "x"), (9, " ", "x"),
+        (9, None, "x"), (None, " ", "x"), (None, " ", "x"),
+    ]
+    wanted = [
+        (None, _prose("n")), (None, _prose("m")), (3, near), (7, _prose("z")), (7, _prose("b")),
+        (8, _prose("c") + " u"), (9, " "), (9, None), (None, " "), (None, " "),
+    ]
+    for given in (rows, rows[::-1]):
+        kept = pipeline.one_of_each_group(spark, _documents(spark, given), TABLES).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(wanted)
+
+
+def test_mixing_tells_rows_with_null_and_shared_ids_apart(spark):
+    rows = [(None, _prose(f"n{i}x"), "ab"[i % 2]) for i in range(30)]
+    rows += [(5, _prose(f"s{i}x"), "a") for i in range(30)]
+    taken = pipeline.mixed_sources(spark, _documents(spark, rows), TABLES).collect()
+    assert {(r["doc_id"], r["text"], r["source"]) for r in taken} <= set(rows)
+    budget = sum(len(text.split()) for _, text, _ in rows)
+    assert 0.8 * budget < sum(len(r["text"].split()) for r in taken) <= budget
+    # The small source is repeated evenly, the large one is not repeated.
+    times = Counter(r["text"] for r in taken)
+    assert max(times.values()) <= 4 and len(times) > 40
+    again = pipeline.mixed_sources(spark, _documents(spark, rows[::-1]), TABLES).collect()
+    assert times == Counter(r["text"] for r in again)
