@@ -4,14 +4,16 @@ Spark matches CSV columns by position, so files are grouped by their header row
 and each group is read on its own; the groups are then joined by column name.
 
 One grammar of rows holds for files of every size (``spanning``).  One pass over all
-lines finds each file's header row and whether any of its rows spans lines.  A file
-without such rows is cut safely and read by Spark's CSV reader; one with them is
-read as lines, in pieces, and the lines of each row are joined.
+lines finds each file's header row, whether any of its rows spans lines, and whether
+it has a CR that does not end a line, at which Spark's CSV reader would end one.  A
+file without either is cut safely and read by that reader; any other is read as lines,
+in pieces, and the lines of each row are joined.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -52,7 +54,10 @@ class Layout:
 
 def header_cells(text: str) -> tuple[str, ...]:
     """The cells of a header row; one without a name is named by its position."""
-    row = next(csv.reader(text.lstrip("\ufeff").splitlines(keepends=True)), [])
+    # Lines end at LF only; Python's reader would end one at a CR too.
+    cr = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in text)
+    lines = io.StringIO(text.lstrip("\ufeff").replace("\r", cr), newline="\n")
+    row = [cell.replace(cr, "\r") for cell in next(csv.reader(lines), [])]
     return tuple(cell or f"Unnamed: {i}" for i, cell in enumerate(row))
 
 
@@ -76,8 +81,9 @@ def layouts(
     """The files grouped by header row and way of reading; files without a row are left out.
 
     ``line_breaks`` says whether cells may hold them: ``check`` looks; ``none``
-    promises there are none; ``any`` takes it that there are.  One job reads all
-    files, and one more those whose header row spans lines.
+    promises there are none; ``any`` takes it that there are.  A file with a CR inside
+    a line is read as lines in any case.  One job reads all files, and one more those
+    whose header row spans lines.
     """
     if line_breaks not in ("check", "none", "any"):
         raise ValueError(f"unknown line_breaks: {line_breaks}")
@@ -91,7 +97,7 @@ def layouts(
         path, row = known.get(file.path, (None, None))
         if row is None or row.header is None:
             continue
-        spans = {"check": row.spans, "none": False, "any": True}[line_breaks]
+        spans = {"check": row.spans, "none": False, "any": True}[line_breaks] or row.lone_cr
         header = header_cells(long_headers.get(path, row.header))
         grouped[header, JOINED if spans else CUT].append(file.path)
     return [Layout(header, way, tuple(paths)) for (header, way), paths in grouped.items()]

@@ -1,7 +1,8 @@
 """Rows that span lines, in files read piece by piece.
 
-One grammar holds for files of every size: a quote opens a cell only where the cell
-begins, two quotes inside it stand for one, and any other quote is text.  Whether a
+One grammar holds for files of every size: lines end at LF, CRs before it go with it
+and any other CR is text; a quote opens a cell only where the cell begins, two quotes
+inside it stand for one, and any other quote is text.  Whether a
 line begins inside a cell depends on all lines before it in its file, but what a
 line does to that does not: started outside or inside a cell, it ends outside or
 inside one.  So each piece is read once under both starts; how the pieces before
@@ -73,7 +74,8 @@ def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def survey(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row a file: whether a cell may span lines, and the first line that is not blank.
+    """One row a file: whether a cell may span lines, whether a CR is anywhere but at the end
+    of a line, and the first line that is not blank.
 
     Where no line that starts outside a cell ends inside one, no row spans lines.
     """
@@ -82,9 +84,13 @@ def survey(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return (
         lines_of(spark, paths)
         .groupBy(PATH)
-        .agg(F.bool_or("opens").alias("spans"), first.alias("first"))
+        .agg(
+            F.bool_or("opens").alias("spans"),
+            F.bool_or(F.contains("value", F.lit("\r"))).alias("lone_cr"),
+            first.alias("first"),
+        )
         .select(
-            PATH, "spans", F.col("first.value").alias("header"),
+            PATH, "spans", "lone_cr", F.col("first.value").alias("header"),
             F.col("first.opens").alias("header_spans"),
         )
     )

@@ -424,3 +424,28 @@ def test_cleaning_twice_replaces_the_output(spark, folder, tmp_path):
     for _ in range(2):
         result = jobs.clean_job(spark, [str(folder)], str(tmp_path / "clean"))
         assert result.cleaned.count() == 9
+
+
+@pytest.mark.parametrize("line_breaks", ["check", "none", "any"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("lone", ["quoted", "plain", "header"])
+def test_a_cr_inside_a_line_is_text(spark, tmp_path, piece, lone, end, line_breaks):
+    first = {"quoted": '"x\ry"', "plain": "x\ry"}.get(lone, "x")
+    header = "na\rme" if lone == "header" else "name"
+    rows = [f"{first},1", "second,2", "third,3"]
+    write(tmp_path / "raw", "a.csv", f"{header},rank", rows, end)
+    [layout] = csv_files.layouts(spark, discover(spark, [str(tmp_path / "raw/*.csv")]), line_breaks)
+    assert layout.headers == (header, "rank")
+    found = csv_files.scan(spark, layout, ["name", "rank"]).select("name", "rank").collect()
+    value = "x" if lone == "header" else "x\ry"
+    assert sorted(map(tuple, found)) == [("second", "2"), ("third", "3"), (value, "1")]
+
+
+def test_a_cr_is_read_alike_beside_rows_that_span_lines(spark, tmp_path):
+    for name, other in (("cut", "plain"), ("joined", '"two\nlines"')):
+        write(tmp_path / name, "a.csv", "name,rank", ['"x\ry",1', "x\ry,2", f"{other},3"])
+    rows = {}
+    for name in ("cut", "joined"):
+        raw = csv_files.read_raw(spark, discover(spark, [str(tmp_path / name / "*.csv")]))
+        rows[name] = sorted(tuple(r)[:2] for r in raw.where("rank < 3").collect())
+    assert rows["cut"] == rows["joined"] == [("x\ry", "1"), ("x\ry", "2")]
