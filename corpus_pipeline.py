@@ -11,16 +11,20 @@ from lendscope.llm.common import stored, table
 from lendscope.llm.near_dedup import near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Less of a language's probability than this is no language.
+#: Words whose most likely languages have less probability than this on average are in none.
 SURE_LANGUAGE = 0.5
 GOOD_FROM = 0.3
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the given ones teach; texts without letters go."""
+    """Documents in one or more of the languages that the given ones teach.
+
+    Texts without letters go, and those whose words have no clear language each; how
+    many languages share a text does not matter.
+    """
     model = language_crf.learn(docs)
-    found = language_crf.identify(docs.select(*COLUMNS), model, carry=True).where(
-        (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("score") >= SURE_LANGUAGE)
+    found = language_crf.identify(docs.select(*COLUMNS), model, carry=True, sure=True).where(
+        (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("word_score") >= SURE_LANGUAGE)
     )
     return found.select("row.*")
 

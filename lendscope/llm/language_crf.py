@@ -356,21 +356,26 @@ def _tagged(texts: list[str | None], scores: _Scores):
     return marginals(emitted, starts, scores.model.transitions), lettered, begins
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], model: Model):
+def _predicted(batches: Iterator[pa.RecordBatch], model: Model, sure: bool):
     scores = _scores(model)
     for batch in batches:
         found, lettered, begins = _tagged(batch.column(1).to_pylist(), scores)
+        # The last column is the largest probability of each word.
+        found = np.concatenate([found, found.max(1, initial=0.0, keepdims=True)], 1)
         sums = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found * lettered[:, None], 0)])
         mass = sums[begins[1:]] - sums[begins[:-1]]
+        mass, largest = mass[:, :-1], mass[:, -1]
         total = mass.sum(1)
         best = mass.argmax(1)
         some = total > 1e-6
         share = np.where(some, mass[np.arange(len(mass)), best] / np.where(some, total, 1), 0.0)
         names = [model.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
+        surest = np.where(some, largest / np.where(some, total, 1), 0.0)
+        words = [pa.array(np.clip(surest, 0, 1))] * sure
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(names, pa.string()), pa.array(np.clip(share, 0, 1)),
-             *batch.columns[2:]],
-            names=["doc_id", "lang_pred", "score", *batch.schema.names[2:]],
+             *words, *batch.columns[2:]],
+            names=["doc_id", "lang_pred", "score", *["word_score"] * sure, *batch.schema.names[2:]],
         )
 
 
@@ -405,10 +410,13 @@ def identify(
     id_column: str = "doc_id",
     text_column: str = "text",
     carry: bool = False,
+    sure: bool = False,
 ) -> DataFrame:
     """One row per row of documents: doc_id, lang_pred, score; the whole row where carried.
 
     ``score`` is the language's share of probability over the words with letters.
+    ``sure`` adds ``word_score``, the mean over these words of the largest probability
+    of each: a text in several languages has a high one where its words are clear.
     A null text and one without letters is ``und`` with score 0, and so is every
     text without a model.  Ties go to the first language by name.  A null id stays
     null, repeated rows come back each, an empty table gives an empty result, and
@@ -420,11 +428,13 @@ def identify(
             "doc_id",
             F.lit(UNKNOWN).alias("lang_pred"),
             F.lit(0.0).alias("score"),
+            *[F.lit(0.0).alias("word_score")] * sure,
             *["row"] * carry,
         )
+    words = ", word_score double" * sure
     return texts.mapInArrow(
-        lambda batches: _predicted(batches, model),
-        with_row("doc_id long, lang_pred string, score double", documents, carry),
+        lambda batches: _predicted(batches, model, sure),
+        with_row(f"doc_id long, lang_pred string, score double{words}", documents, carry),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from lendscope.llm import language_crf, rule_quality
@@ -115,3 +116,24 @@ def test_mixing_tells_rows_with_null_and_shared_ids_apart(spark):
     assert max(times.values()) <= 4 and len(times) > 40
     again = pipeline.mixed_sources(spark, _documents(spark, rows[::-1]), TABLES).collect()
     assert times == Counter(r["text"] for r in again)
+
+
+def test_mixed_languages_stay(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    words = {}
+    for r in docs.orderBy("doc_id").collect():
+        words.setdefault(r["lang"], []).extend((r["text"] or "").split())
+    mixes = [
+        {"en": 60, "de": 60}, {"en": 40, "de": 35, "fr": 25}, {"es": 40, "fr": 40, "de": 40},
+        {"en": 30, "de": 30, "fr": 30, "es": 30},
+    ]
+    rows = [
+        (-1 - i, " ".join(w for lang, n in mix.items() for w in words[lang][500 : 500 + n]), "x")
+        for i, mix in enumerate(mixes)
+    ]
+    rows += [(-10, "これは日本語の文章です", "x"), (-11, "12 34", "x"), (-12, None, "x")]
+    given = docs.select(*pipeline.COLUMNS).unionByName(
+        _documents(spark, rows).withColumn("n_chars", F.col("n_chars").cast(docs.schema["n_chars"].dataType))
+    )
+    kept = {r["doc_id"] for r in pipeline.known_languages(spark, given, TABLES).collect()}
+    assert {i for i in kept if i < 0} == {-1, -2, -3, -4}
