@@ -16,7 +16,7 @@ one.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,16 +62,19 @@ NOTICES = {
 WIDTH, PERCENT, BANDS = 5, 80, 128
 #: Templates and their words are broadcast; more are an error.
 MOST_WORDS = 50_000
-_SEPARATOR = "[^a-z0-9\\u0080-\\uffff]+"
+_SEPARATOR = r"[^\p{L}\p{M}\p{N}]+"
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cased words without marks."""
+    """Lower-cased words: runs of letters, combining marks and digits of any script."""
     return F.filter(F.split(F.lower(text), _SEPARATOR), lambda w: w != "")
 
 
 def _template_words(notice: str) -> list[str]:
-    return [w for w in re.split(_SEPARATOR, notice.lower()) if w]
+    """The same words; Python's ``re`` has no classes of Unicode categories."""
+    return "".join(
+        c if unicodedata.category(c)[0] in "LMN" else " " for c in notice.lower()
+    ).split()
 
 
 def anchors(notices: Mapping[str, str], width: int = WIDTH) -> list[str]:
@@ -172,7 +175,8 @@ def scan(
     window, the first one of equals, which has ``n_words`` words from
     ``first_word`` on (from 0); ``n_windows`` windows hold ``percent`` of 100 or more.
 
-    Words are runs of letters and digits, lower-cased.  A document without a match,
+    Words are runs of letters, combining marks and digits, lower-cased; spaces, quotes,
+    dashes and bullets beyond ASCII part them like others.  A document without a match,
     null and empty texts included, gives no row; rows with equal ids are scanned
     together as one document, so repeated rows count their windows each; null ids
     are one id; an empty table gives an empty result; other columns are not looked

@@ -6,6 +6,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from lendscope.llm import licenses, sql
 
@@ -84,3 +85,21 @@ def test_no_python_on_the_way(spark):
 def test_short_templates_are_refused(spark):
     with pytest.raises(ValueError):
         licenses.templates(spark, {"short": "one two three"})
+
+
+def test_marks_beyond_ascii_part_words(spark):
+    apache, mit = licenses.NOTICES["Apache-2.0"], licenses.NOTICES["MIT"]
+    rows = [
+        (1, apache.replace("Version 2.0", "Version\u00a02.0")), (2, f"\u201c{mit}\u201d"),
+        (3, f"\u2022{mit}\u2014{apache}"), (4, mit.replace(" ", "\u2003")),
+        (5, f"\U0001f600{mit}"), (6, mit.replace("the", "th\u00e9")),
+        (7, mit.replace("the", "the\u0301")), (8, mit.replace("the", "the\u4e2d")),
+    ]
+    found = {(r[0], r[1]) for r in run(spark, rows)}
+    assert found == {(1, "Apache-2.0"), (2, "MIT"), (3, "MIT"), (3, "Apache-2.0"), (4, "MIT"), (5, "MIT")}
+
+
+def test_words_of_templates_are_words_of_texts(spark):
+    text = "A b\u201cc\u201d d\u2014e \u2022f g\u0301h \u4e2d\u6587 x\u0663 9\u00bd _k\u00a0l M\u00b7n \u2160"
+    (row,) = spark.createDataFrame([(text,)], "t string").select(licenses.words_of(F.col("t"))).collect()
+    assert row[0] == licenses._template_words(text)
