@@ -35,6 +35,8 @@ _BLOCK = 256
 _WORDS_KEPT = 250_000
 _LONGEST = 128
 _DRAW = 1 << 20
+#: Words of one language in a row in a training sequence, but where it is cut off.
+_LEAST_STRETCH = 6
 
 # (first character, characters) counted from the start, or from the end where negative.
 _AFFIXES = ((0, 1), (0, 2), (0, 3), (-1, 1), (-2, 2), (-3, 3), (-4, 4))
@@ -57,6 +59,11 @@ def letters_of(token: str) -> str:
     return (token if token.isalpha() else "".join(filter(str.isalpha, token))).lower()
 
 
+def _parts(word: str) -> list[str]:
+    """A word in parts of bounded length; in scripts without spaces a word is a sentence."""
+    return [word[k : k + _LONGEST] for k in range(0, len(word), _LONGEST)]
+
+
 def _buckets(hashes: np.ndarray, number: int) -> np.ndarray:
     mixed = (hashes + np.uint64(number + 1)) * _MIX
     return ((mixed ^ (mixed >> np.uint64(31))) * _MIX >> np.uint64(64 - _TABLE_BITS)).astype(
@@ -112,11 +119,7 @@ def word_scores(weights: np.ndarray, words: Sequence[str]) -> np.ndarray:
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     for start in range(0, len(order), 4096):
         mine = order[start : start + 4096]
-        parts = [
-            (i, words[i][k : k + _LONGEST])
-            for i in mine
-            for k in range(0, len(words[i]), _LONGEST)
-        ]
+        parts = [(i, part) for i in mine for part in _parts(words[i])]
         rows, used = _features([p for _, p in parts])
         sums = np.einsum("wfl,wf->wl", flat[rows], used.astype(np.float32))
         np.add.at(found, [i for i, _ in parts], sums)
@@ -187,8 +190,11 @@ def fit(
     documents = [
         (number[name], words)
         for text, name in zip(texts, languages, strict=True)
-        if len(words := [w for w in map(letters_of, text.split()) if w]) > 3
+        if (words := [p for w in map(letters_of, text.split()) for p in _parts(w)])
     ]
+    own: dict[int, list[list[str]]] = {}
+    for label, words in documents:
+        own.setdefault(label, []).append(words)
     weights = np.zeros((_TABLES << _TABLE_BITS, len(names)), np.float32)
     squares = np.full(weights.shape, 1e-2, np.float32)
     transitions = np.zeros((len(names), len(names)))
@@ -203,16 +209,20 @@ def fit(
         labels: list[int] = []
         while len(words) < length:
             label, all_words = documents[drawn.integers(len(documents))]
-            size = int(drawn.integers(6, length + 1))
+            size = int(drawn.integers(_LEAST_STRETCH, length + 1))
             at = int(drawn.integers(max(1, len(all_words) - size + 1)))
-            words += [pool.setdefault(w, len(pool)) for w in all_words[at : at + size]]
+            taken = all_words[at : at + size]
+            # Short documents are followed by others of their language.
+            while len(taken) < _LEAST_STRETCH:
+                taken = taken + own[label][drawn.integers(len(own[label]))][: size - len(taken)]
+            words += [pool.setdefault(w, len(pool)) for w in taken]
             labels += [label] * (len(words) - len(labels))
         return words[:length], labels[:length]
 
     made = [stretch() for _ in range(min(6 * len(documents), 12_000))]
     sequence = np.array([w for w, _ in made])
     truth = np.array([t for _, t in made])
-    vocabulary = [w[:_LONGEST] for w in pool]
+    vocabulary = list(pool)
     rows = np.zeros((0, 0))
     for _ in range(passes):
         order = drawn.permutation(len(made))
@@ -313,10 +323,10 @@ class _Scores:
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.table = np.zeros((0, len(self.model.languages)), np.float32)
-        self.lettered = np.zeros(0, bool)
+        self.lettered = np.zeros(0, np.int64)
 
     def of(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of all tokens one after the other, and which have letters."""
+        """Scores of all tokens one after the other, and how many parts with letters each has."""
         if len(self.rows) > _WORDS_KEPT:
             self.clear()
         new = [t for t in set(chain.from_iterable(tokens)).difference(self.rows)]
@@ -325,8 +335,7 @@ class _Scores:
         scores = np.zeros((len(new), self.table.shape[1]), np.float32)
         if with_letters:
             scores[with_letters] = word_scores(self.model.weights, [words[i] for i in with_letters])
-        lettered = np.zeros(len(new), bool)
-        lettered[with_letters] = True
+        lettered = np.array([-(-len(w) // _LONGEST) for w in words], np.int64)
         self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
         self.table = np.concatenate([self.table, scores])
         self.lettered = np.concatenate([self.lettered, lettered])
@@ -347,7 +356,7 @@ def _scores(model: Model) -> _Scores:
 
 
 def _tagged(texts: list[str | None], scores: _Scores):
-    """Probabilities of all words, which have letters, and where each text begins."""
+    """Probabilities of all words, their parts with letters, and where each text begins."""
     tokens = [t.split() if t else [] for t in texts]
     begins = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
     emitted, lettered = scores.of(tokens)
@@ -414,7 +423,8 @@ def identify(
 ) -> DataFrame:
     """One row per row of documents: doc_id, lang_pred, score; the whole row where carried.
 
-    ``score`` is the language's share of probability over the words with letters.
+    ``score`` is the language's share of probability over the words with letters, where
+    one of more than 128 letters counts once for each 128 begun, as in training.
     ``sure`` adds ``word_score``, the mean over these words of the largest probability
     of each: a text in several languages has a high one where its words are clear.
     A null text and one without letters is ``und`` with score 0, and so is every

@@ -103,3 +103,23 @@ def test_without_labels_there_is_no_model(spark):
     assert crf.identify(docs, None).head()["lang_pred"] == "und"
     one = spark.createDataFrame([(1, "a b c d e", "en")], "doc_id long, text string, lang string")
     assert crf.identify(one, crf.learn(one)).head()["lang_pred"] == "en"
+
+
+def test_languages_of_few_long_words_are_learned(spark):
+    drawn = np.random.default_rng(3)
+
+    def paragraph(first, many):
+        return "".join(chr(first + int(k)) for k in drawn.integers(0, 60, many))
+
+    texts = [f"{paragraph(0x4E00, 200)}。" for _ in range(40)]
+    # Katakana come late in a paragraph only.
+    texts += [paragraph(0x3041, 130) + paragraph(0x30A1, 130) for _ in range(40)]
+    texts += [" ".join(drawn.choice(["the", "house", "is", "old", "and", "tall"], 20)) for _ in range(40)]
+    model = crf.fit(texts, ["zh"] * 40 + ["ja"] * 40 + ["en"] * 40)
+    rows = [
+        (1, paragraph(0x4E00, 90)), (2, paragraph(0x30A1, 90)), (3, "the old house"),
+        (4, f"the old house {paragraph(0x4E00, 900)}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in crf.identify(docs, model).collect()}
+    assert found == {1: "zh", 2: "ja", 3: "en", 4: "zh"}
