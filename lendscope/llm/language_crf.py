@@ -27,6 +27,8 @@ from lendscope.llm.common import hold, with_row, with_texts
 
 #: Labelled documents of each language to learn from, about.
 TRAINING_DOCUMENTS = 400
+#: Training sequences for each of these documents.
+SEQUENCES_A_DOCUMENT = 6
 #: Languages in the labels; more are an error.
 MOST_LANGUAGES = 250
 UNKNOWN = "und"
@@ -175,6 +177,11 @@ def marginals(scores: np.ndarray, starts: np.ndarray, transitions: np.ndarray) -
     return found / found.sum(1, keepdims=True)
 
 
+def sequences_of(documents: int) -> int:
+    """Training sequences for so many documents."""
+    return SEQUENCES_A_DOCUMENT * documents
+
+
 def fit(
     texts: Sequence[str],
     languages: Sequence[str],
@@ -219,13 +226,15 @@ def fit(
             labels += [label] * (len(words) - len(labels))
         return words[:length], labels[:length]
 
-    made = [stretch() for _ in range(min(6 * len(documents), 12_000))]
-    sequence = np.array([w for w, _ in made])
-    truth = np.array([t for _, t in made])
+    made = sequences_of(len(documents))
+    sequence = np.empty((made, length), np.int32)
+    truth = np.empty((made, length), np.int32)
+    for k in range(made):
+        sequence[k], truth[k] = stretch()
     vocabulary = list(pool)
     rows = np.zeros((0, 0))
     for _ in range(passes):
-        order = drawn.permutation(len(made))
+        order = drawn.permutation(made)
         for start in range(0, len(order), 64):
             ids, gold = sequence[order[start : start + 64]], truth[order[start : start + 64]]
             distinct, inverse = np.unique(ids, return_inverse=True)
@@ -246,13 +255,13 @@ def fit(
                 back[:, t] /= back[:, t].sum(1, keepdims=True)
             each = ahead * back
             each /= each.sum(2, keepdims=True)
-            pairs = (
-                ahead[:, :-1, :, None] * step * (emitted[:, 1:] * back[:, 1:])[:, :, None, :]
-            )
-            pairs /= pairs.sum((2, 3), keepdims=True)
+            # Expected pairs, summed without a table of pairs for each place.
+            before, after = ahead[:, :-1], emitted[:, 1:] * back[:, 1:]
+            before = before / ((before @ step) * after).sum(2, keepdims=True)
+            pairs = step * (before.reshape(-1, len(names)).T @ after.reshape(-1, len(names)))
             wanted = np.zeros_like(transitions)
             np.add.at(wanted, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
-            slope = (pairs.sum((0, 1)) - wanted) / len(ids) + 1e-3 * transitions
+            slope = (pairs - wanted) / len(ids) + 1e-3 * transitions
             slopes += slope**2
             transitions = transitions - 0.2 * slope / np.sqrt(slopes)
             error = each

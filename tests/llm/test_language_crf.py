@@ -123,3 +123,7 @@ def test_languages_of_few_long_words_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["lang_pred"] for r in crf.identify(docs, model).collect()}
     assert found == {1: "zh", 2: "ja", 3: "en", 4: "zh"}
+
+
+def test_training_grows_with_the_sample():
+    assert [crf.sequences_of(n) for n in (1, 1_600, 100_000)] == [6, 9_600, 600_000]
