@@ -31,7 +31,7 @@ from lendscope.llm.components import merge
 #: Coordinates of a signature, and how many of them, the first ones, have lists.
 COORDINATES, LISTED = 128, 64
 #: Standard deviations that the agreements of a pair at the least similarity may fall
-#: short of their mean: all but about two pairs in a million are found.
+#: short of their mean: all but about six pairs in a million are found.
 SLACK = 4.75
 #: Lists of more members have a pivot.
 SHORT = 8
