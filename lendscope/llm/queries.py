@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendscope.llm import (
     boosted_rules,
+    filter_audit,
     fingerprints,
     language_crf,
     licenses,
@@ -87,6 +88,11 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove at each step of each of their orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, tuple[Run, str | None]]:
     """Query name: (Spark query, SQL that gives the same, where SQL can)."""
     return {
@@ -100,4 +106,5 @@ def queries() -> dict[str, tuple[Run, str | None]]:
         "op8_languages": (languages, None),
         "op9_token_counts": (tokens, None),
         "op10_source_mix": (source_mix, None),
+        "op11_filter_audit": (filter_interaction, sql.FILTER_AUDIT),
     }

@@ -100,3 +100,57 @@ SELECT doc_id, license, CAST(first(first_word ORDER BY matched DESC, first_word)
 FROM matches WHERE 100 * matched >= {PERCENT} * wanted
 GROUP BY doc_id, license, wanted
 """
+
+FILTER_AUDIT = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body FROM documents
+), firsts AS (
+  SELECT body, min(doc_id) AS first_id FROM texts GROUP BY body
+), judged AS (
+  SELECT doc_id, part, t.body, regexp_extract_all(t.body, '[^\x20\x09-\x0D]+') AS w,
+    f.first_id IS NOT NULL AND (doc_id IS NULL OR doc_id > f.first_id) AS copy
+  FROM texts t JOIN firsts f ON t.body = f.body
+), flags AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    map {
+      'A': len(w) < 200,
+      'B': 100 * len(list_distinct(w)) < 50 * len(w),
+      'C': 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body),
+      'D': regexp_matches(body, '[#$%&*|]'),
+      'E': copy
+    } AS f
+  FROM judged LEFT JOIN flags USING (doc_id)
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)
+), steps AS (
+  SELECT filter_order, i AS step, substr(filter_order, i, 1) AS letter,
+    string_split(substr(filter_order, 1, i - 1), '') AS earlier
+  FROM orders, range(1, 6) r(i) WHERE length(filter_order) = 5
+), patterns AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM fails GROUP BY part, f
+), seen AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, f[letter] AS failing,
+    len(list_filter(earlier, lambda x: x <> '' AND f[x])) > 0 AS gone,
+    len(list_filter(map_values(f), lambda x: x)) = 1 AND f[letter] AS alone
+  FROM patterns, steps
+), counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND failing), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (NOT gone AND failing), 0) AS BIGINT) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, letter
+)
+SELECT * EXCLUDE (letter),
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
