@@ -16,6 +16,7 @@ from lendscope.llm import (
     mixing,
     near_dedup,
     pieces,
+    prefix_trie,
     rule_quality,
     sql,
     token_counts,
@@ -93,6 +94,11 @@ def filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations' shared beginnings."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, tuple[Run, str | None]]:
     """Query name: (Spark query, SQL that gives the same, where SQL can)."""
     return {
@@ -107,4 +113,5 @@ def queries() -> dict[str, tuple[Run, str | None]]:
         "op9_token_counts": (tokens, None),
         "op10_source_mix": (source_mix, None),
         "op11_filter_audit": (filter_interaction, sql.FILTER_AUDIT),
+        "op12_conversation_trie": (conversation_trie, sql.CONVERSATION_TRIE),
     }

@@ -154,3 +154,57 @@ SELECT * EXCLUDE (letter),
   CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM counted
 """
+
+# The reflected polynomial of CRC-32 is a fixed value.
+CONVERSATION_TRIE = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS body,
+    row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))
+    ) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT),
+        [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(i AS BIGINT) FOR i IN range(8)]),
+        lambda r, i: xor(r >> 1, (r & 1) * 3988292384))
+    ), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT i.conv_id, 0 AS own, pos, role, body
+  FROM ids i JOIN turns t ON t.conv_id = i.base AND t.pos <= i.h
+  UNION ALL
+  SELECT i.conv_id, 1, pos, role, body
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.pos > i.h
+), members AS (
+  SELECT conv_id, length(body) AS chars,
+    list(struct_pack(role := role, body := body)) OVER (
+      PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING) AS path
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, [] FROM ids
+), last AS (
+  SELECT conv_id, max(len(path)) AS depth FROM members GROUP BY conv_id
+), nodes AS (
+  SELECT path, min(m.conv_id) AS conv_id, len(path) AS depth, count(*) AS n_convs,
+    (count(*) - 1) * any_value(chars) AS saved,
+    sha256(coalesce(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id)
+      FILTER (l.depth = len(path)), '')) AS ends_sha256
+  FROM members m JOIN last l ON m.conv_id = l.conv_id GROUP BY path
+), kids AS (
+  SELECT path[1:len(path) - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON n.path = k.path
+), below AS (
+  SELECT path[1:d.i] AS path, saved, n_children FROM counted, range(0, depth + 1) d(i)
+), totals AS (
+  SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM below GROUP BY path
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  n.n_children, t.n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t ON n.path = t.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
