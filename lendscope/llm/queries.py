@@ -15,6 +15,7 @@ from lendscope.llm import (
     licenses,
     mixing,
     near_dedup,
+    personal_data,
     pieces,
     prefix_trie,
     rule_quality,
@@ -99,6 +100,11 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in the documents and the words that disclose it."""
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, tuple[Run, str | None]]:
     """Query name: (Spark query, SQL that gives the same, where SQL can)."""
     return {
@@ -114,4 +120,5 @@ def queries() -> dict[str, tuple[Run, str | None]]:
         "op10_source_mix": (source_mix, None),
         "op11_filter_audit": (filter_interaction, sql.FILTER_AUDIT),
         "op12_conversation_trie": (conversation_trie, sql.CONVERSATION_TRIE),
+        "op13_personal_data": (personal, sql.personal_data()),
     }

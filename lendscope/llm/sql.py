@@ -208,3 +208,104 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM counted n JOIN totals t ON n.path = t.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
 """
+
+# The forms of personal data, and what is cut from the ends of words.
+_FORMS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_EDGES = "0123456789!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~“”‘’«»‹›„¿¡…–—·•。、，！？（）"
+
+
+def personal_data(near: int = 8, support: int = 3) -> str:
+    """Spans of values, and of terms that tell 3/4 or 7/8 of a value's information."""
+    byte = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"""list_sum([CASE WHEN (length({digits}) - i) % 2 = 0 THEN d
+        WHEN d > 4 THEN 2 * d - 9 ELSE 2 * d END
+        FOR d, i IN [CAST(x AS INTEGER) FOR x IN string_split({digits}, '')]]) % 10 = 0"""
+    valid = f"""CASE kind WHEN 'email' THEN true
+      WHEN 'ip' THEN regexp_full_match(m, '{byte}(?:\\.{byte}){{3}}')
+      WHEN 'card' THEN length({digits}) BETWEEN 13 AND 19 AND {luhn}
+      ELSE length({digits}) BETWEEN 9 AND 15 END"""
+
+    def cut(name: str, source: str, column: str) -> str:
+        """CTE: (key, kind, matches, gaps) of each source row and kind."""
+        return f"{name} AS (" + " UNION ALL ".join(
+            f"SELECT key, {k} AS rank, '{kind}' AS kind, regexp_extract_all({column}, '{form}') AS ms,"
+            f" string_split_regex({column}, '{form}') AS gaps FROM {source}"
+            for k, (kind, form) in enumerate(_FORMS.items())
+        ) + ")"
+
+    def words(gap: str) -> str:
+        return (
+            f"list_filter([trim(x, '{_EDGES}') FOR x IN regexp_extract_all({gap}, '{_WORDS}')],"
+            " lambda t: regexp_full_match(t, '[\\p{L}\\p{M}''’-]{2,}'))"
+        )
+
+    start = "list_sum([length(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN ms[1:i - 1]]), 0)"
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS key, doc_id, coalesce(text, '') AS body FROM documents
+), lines AS (
+  SELECT row_number() OVER () AS key, line
+  FROM (SELECT DISTINCT unnest(string_split(body, chr(10))) AS line FROM texts) WHERE line <> ''
+), {cut("line_cuts", "lines", "line")}, near AS (
+  SELECT DISTINCT key, kind, m, unnest(list_concat([''], right_terms, left_terms)) AS term
+  FROM (
+    SELECT key, kind, ms[i] AS m,
+      list_reverse({words("gaps[i]")})[1:{near}] AS left_terms,
+      {words("gaps[i + 1]")}[1:{near}] AS right_terms
+    FROM line_cuts, range(1, len(ms) + 1) r(i)
+  ) WHERE {valid}
+), pairs AS (
+  SELECT kind, m, term, count(*) AS n_pair FROM near GROUP BY ALL HAVING count(*) >= {support}
+), held AS (
+  SELECT term, count(DISTINCT key) AS n_term FROM (
+    SELECT key, unnest([trim(x, '{_EDGES}') FOR x IN regexp_extract_all(line, '{_WORDS}')]) AS term
+    FROM lines
+  ) GROUP BY term
+), shares AS (
+  SELECT p.term, p.n_pair::DOUBLE / h.n_term::DOUBLE AS r, v.n_pair AS n_value,
+    (SELECT count(*)::DOUBLE FROM lines) AS n
+  FROM pairs p JOIN held h ON p.term = h.term
+  JOIN pairs v ON v.kind = p.kind AND v.m = p.m AND v.term = ''
+  WHERE p.term <> ''
+), telling AS (
+  SELECT term, bool_or(((r * r) * (r * r)) * ((r * r) * (r * r)) * n >= n_value) AS removed
+  FROM shares WHERE (r * r) * (r * r) * n >= n_value GROUP BY term
+), {cut("cuts", "texts", "body")}, found AS (
+  SELECT key, rank, kind, CAST({start} AS BIGINT) AS start, ms[i] AS m
+  FROM cuts, range(1, len(ms) + 1) r(i)
+), good AS (
+  SELECT key, rank, kind, start, start + length(m) AS stop FROM found WHERE {valid}
+), tokens AS (
+  SELECT key, regexp_extract_all(body, '{_WORDS}') AS ms, string_split_regex(body, '{_WORDS}') AS gaps
+  FROM texts
+), places AS (
+  SELECT key, ms[i] AS token, trim(ms[i], '{_EDGES}') AS bare, CAST({start} AS BIGINT) AS start
+  FROM tokens, range(1, len(ms) + 1) r(i)
+  WHERE trim(ms[i], '{_EDGES}') IN (SELECT term FROM telling)
+), added AS (
+  SELECT key, CASE WHEN removed THEN 5 ELSE 4 END AS rank,
+    CASE WHEN removed THEN 'removed' ELSE 'general' END AS kind,
+    start + position(bare IN token) - 1 AS start,
+    start + position(bare IN token) - 1 + length(bare) AS stop
+  FROM places JOIN telling ON bare = term
+), listed AS (
+  SELECT key, rank, start, kind || ':' || start || ':' || stop AS span
+  FROM (SELECT * FROM good UNION ALL SELECT * FROM added)
+), joined AS (
+  SELECT key, string_agg(span, ',' ORDER BY rank, start) AS spans,
+    string_agg(span, ',' ORDER BY rank, start) FILTER (rank < 4) AS base,
+    count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip,
+    count(*) FILTER (rank = 2) AS n_card, count(*) FILTER (rank = 3) AS n_phone
+  FROM listed GROUP BY key
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
+  coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (key)
+"""
