@@ -370,6 +370,11 @@ def queries() -> dict[str, Query]:
     found["d18_numeric_stats"] = _of_loans(
         _NUMBERS, lambda fact: profiling.numeric_stats(fact, _NUMBERS), _stats_sql()
     )
+    found["d18_quantiles_wide_bracket"] = _of_loans(
+        _NUMBERS,
+        lambda fact: profiling.quantiles(fact, _NUMBERS, _FRACTIONS, most=200),
+        _quantiles_sql(),
+    )
     found["d19_run_summary"] = _of_loans(
         (),
         lambda fact: profiling.run_summary(
@@ -398,6 +403,20 @@ _TYPES = {
 }
 
 
+# Quantiles that are found by several rounds, since few rows may be ordered at last.
+_FRACTIONS = (0.01, 0.5, 0.99)
+
+
+def _quantiles_sql() -> str:
+    return _per_column(
+        _NUMBERS,
+        lambda c: f"'{c}' AS column_name, "
+        + ", ".join(
+            f"quantile_cont(CAST({c} AS DOUBLE), {q}) AS p{round(q * 100)}" for q in _FRACTIONS
+        ),
+    )
+
+
 def _per_column(columns: tuple[str, ...] | list[str], line: Callable[[str], str]) -> str:
     return " UNION ALL ".join(f"SELECT {line(c)} FROM loans" for c in columns)
 

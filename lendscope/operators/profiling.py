@@ -9,17 +9,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.model import POSITION, SOURCE_FILE
+from lendscope.operators import selection
 from lendscope.sources.csv_files import kind_of
 
 QUARTILES = (0.25, 0.5, 0.75)
-# A sketch places a rank to one part in so many, and brackets are a little wider.
-_SKETCH = 2000
-_BRACKET = 4 / _SKETCH
 
 
 def _lines(
@@ -138,92 +136,41 @@ def numeric_stats(
     return stats.select("column_name", "count", "mean", "std", "min", *parts, "max")
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    fractions: Sequence[float],
+    most: int = selection.MOST_LEFT,
+) -> DataFrame:
     """Exact quantiles of many columns, one row per column that has values.
 
     Spark's exact percentile brings all distinct values of a column into one task.
-    Here a first pass takes, from mergeable sketches, a narrow bracket of values
-    around each wanted rank; a second counts the values below and inside it, and
-    where the rank falls outside, the bracket is taken to be everything.  Only values
-    inside brackets, counted in each task first, are ever shuffled and ordered.
+    Here the two values around each wanted rank are selected by rounds; ``most`` rows of
+    a column at most are ordered by one task.
     """
     spark = df.sparkSession
-    slots = [(c, float(f)) for c in columns for f in fractions]
     parts = "".join(f", p{round(f * 100)} double" for f in fractions)
-    none = spark.createDataFrame([], f"column_name string{parts}")
-    if not slots:
-        return none
+    schema = f"column_name string{parts}"
+    if not columns or not fractions:
+        return spark.createDataFrame([], schema)
     values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    value_of = {c: F.col(f"v{i}") for i, c in enumerate(columns)}
-
-    def bracket(fraction: float) -> list[float]:
-        return [max(0.0, fraction - _BRACKET), min(1.0, fraction + _BRACKET)]
-
-    near = values.agg(
-        *[
-            F.percentile_approx(value_of[c], bracket(f), _SKETCH).alias(f"b{i}")
-            for i, (c, f) in enumerate(slots)
-        ],
-        *[F.count(value_of[c]).alias(f"n{i}") for i, c in enumerate(columns)],
-    ).first()
-    total = {c: near[f"n{i}"] for i, c in enumerate(columns)}
-    known = [(i, c, f, *near[f"b{i}"]) for i, (c, f) in enumerate(slots) if total[c]]
-    if not known:
-        return none
-
-    def inside(column: str, low: float, high: float) -> Column:
-        return (value_of[column] >= low) & (value_of[column] <= high)
-
-    held = values.agg(
-        *[F.count_if(value_of[c] < low).alias(f"b{i}") for i, c, _, low, _ in known],
-        *[F.count_if(inside(c, low, high)).alias(f"w{i}") for i, c, _, low, high in known],
-    ).first()
-    wanted = []
-    for i, c, f, low, high in known:
-        place = f * (total[c] - 1)
-        first, last = math.floor(place), math.ceil(place)
-        before, within = held[f"b{i}"], held[f"w{i}"]
-        if not before <= first <= last < before + within:
-            low, high, before = -math.inf, math.nan, 0
-        wanted.append((i, c, f, low, high, before, first, last, place - first))
-    spots = [
-        F.when(
-            value_of[c].isNotNull() if high != high else inside(c, low, high),
-            F.struct(F.lit(i).alias("slot"), value_of[c].alias("value")),
-        )
-        for i, c, _, low, high, *_ in wanted
+    sizes = list(values.agg(*[F.count(c) for c in values.columns]).head())
+    places = {
+        (i, f): f * (size - 1) for i, size in enumerate(sizes) if size for f in map(float, fractions)
+    }
+    wanted = {(i, ranks) for (i, _), p in places.items() for ranks in (math.floor(p), math.ceil(p))}
+    found = selection.values_at(values, sizes, wanted, most)
+
+    def value(i: int, f: float) -> float:
+        place = places[i, f]
+        low, high = found[i, math.floor(place)], found[i, math.ceil(place)]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    # A row per column.
+    rows = [
+        (c, *[value(i, float(f)) for f in fractions]) for i, c in enumerate(columns) if sizes[i]
     ]
-    counted = (
-        values.select(F.inline(F.filter(F.array(*spots), lambda s: s.isNotNull())))
-        .groupBy("slot", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    in_order = Window.partitionBy("slot").orderBy("value")
-    through = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    # One row per column and fraction, so safe to broadcast.
-    ranks = spark.createDataFrame(
-        [(i, c, f, before, first, last, float(weight)) for i, c, f, _, _, before, first, last, weight in wanted],
-        "slot int, column_name string, fraction double, before long, low long, high long, weight double",
-    )
-    end = F.col("before") + F.col("through")
-
-    def at(rank: str) -> Column:
-        holds = (F.col(rank) < end) & (F.col(rank) >= end - F.col("n"))
-        return F.max(F.when(holds, F.col("value"))).alias(rank)
-
-    found = (
-        counted.withColumn("through", through)
-        .join(F.broadcast(ranks), "slot")
-        .groupBy("column_name", "fraction", "weight")
-        .agg(at("low"), at("high"))
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
-    return found.groupBy("column_name").agg(
-        *[
-            F.max(F.when(F.col("fraction") == f, value)).alias(f"p{round(f * 100)}")
-            for f in fractions
-        ]
-    )
+    return spark.createDataFrame(rows, schema)
 
 
 def run_summary(counted: DataFrame, column_count: int) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lendscope.operators import cleaning, profiling
+from lendscope.operators import cleaning, profiling, selection
 
 
 @pytest.fixture(scope="module")
@@ -55,16 +55,70 @@ def test_exact_quantiles(numbers):
             assert found[column][f"p{round(q * 100)}"] == pytest.approx(expected, rel=1e-12)
 
 
-def test_quantiles_outside_their_brackets(numbers, monkeypatch):
-    """Brackets that miss the rank are taken to be everything."""
-    frame, df = numbers
-    monkeypatch.setattr(profiling, "_SKETCH", 2)
-    monkeypatch.setattr(profiling, "_BRACKET", 0.0)
-    found = profiling.quantiles(df, ["skewed", "gaps", "whole"], [0.1, 0.5, 0.9])
+FRACTIONS = (0, 0.1, 0.25, 0.5, 0.9, 1)
+
+
+def assert_quantiles(frame, found):
     for row in found.collect():
-        for q in (0.1, 0.5, 0.9):
-            expected = frame[row.column_name].quantile(q)
-            assert row[f"p{round(q * 100)}"] == pytest.approx(expected, rel=1e-12)
+        values = frame[row.column_name].dropna().to_numpy()
+        for q in FRACTIONS:
+            assert row[f"p{round(q * 100)}"] == pytest.approx(np.quantile(values, q), rel=1e-12)
+
+
+@pytest.mark.parametrize("most", [1, 10**6])
+def test_quantiles_by_rounds(numbers, most):
+    frame, df = numbers
+    found = profiling.quantiles(df, list(frame), FRACTIONS, most=most)
+    assert found.count() == 4
+    assert_quantiles(frame, found)
+
+
+def test_splitters_that_miss_cost_a_round(numbers, monkeypatch):
+    """Most wanted ranks are outside of the first splitters, which are values of no row."""
+    frame, df = numbers
+    rounds = []
+    splitters = selection._splitters
+    monkeypatch.setattr(
+        selection,
+        "_splitters",
+        lambda v, s: rounds.append(s) or ([(0.1, 1.1)] * len(s) if len(rounds) == 1 else splitters(v, s)),
+    )
+    assert_quantiles(frame, profiling.quantiles(df, list(frame), FRACTIONS, most=40))
+    assert len(rounds) > 1
+
+
+def assert_quantiles_of(df, column, most, expected):
+    row = profiling.quantiles(df, [column], [0.25, 0.5], most=most).head()
+    assert (row.p25, row.p50) == pytest.approx(expected, rel=1e-12)
+
+
+def test_quantiles_of_many_distinct_sorted_values(spark):
+    """Sorted partitions differ from each other as much as they can."""
+    n = 10_000_000
+    df = spark.range(0, n, 1, 16).select(F.col("id").cast("double").alias("x"))
+    assert_quantiles_of(df, "x", 20_000, [(n - 1) * 0.25, (n - 1) * 0.5])
+
+
+def test_quantiles_of_two_values_and_of_endless_ones(spark):
+    rows = spark.range(0, 9000, 1, 4)
+    two = F.when(F.col("id") % 3 == 0, 1.0).otherwise(2.0)
+    assert_quantiles_of(rows.select(two.alias("x")), "x", 10, [1.0, 2.0])
+    far = F.when(F.col("id") < 4000, F.lit(float("-inf"))).otherwise(F.exp(F.col("id") / 15))
+    assert_quantiles_of(
+        rows.select(far.alias("x")), "x", 10,
+        [float("-inf"), (np.exp(4499 / 15) + np.exp(4500 / 15)) / 2],
+    )
+
+
+def test_no_task_orders_more_than_stated(spark, monkeypatch):
+    seen = []
+    ordered = selection._ordered
+    monkeypatch.setattr(
+        selection, "_ordered", lambda v, s: seen.extend(x.within for x in s) or ordered(v, s)
+    )
+    df = spark.range(0, 50_000, 1, 8).select(F.rand(3).alias("x"))
+    profiling.quantiles(df, ["x"], [0.1, 0.5], most=500)
+    assert seen and max(seen) <= 500
 
 
 def test_approximate_stats_take_one_pass(numbers):
