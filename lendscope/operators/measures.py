@@ -42,7 +42,7 @@ FACT_COLUMNS = [
 ]
 
 
-def _measures(fact: DataFrame) -> list[Column]:
+def loan_measures(fact: DataFrame) -> list[Column]:
     """Count and sums of the amounts that ``fact`` has."""
     sums = [F.sum(c).alias(name) for c, name in _SUMS.items() if c in fact.columns]
     if "loan_amount" in fact.columns:
@@ -50,7 +50,7 @@ def _measures(fact: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("total_loans"), *sums]
 
 
-def _added_up(rows: DataFrame) -> list[Column]:
+def added_up(rows: DataFrame) -> list[Column]:
     """Totals of totals."""
     names = [c for c in ("known_amounts", *_SUMS.values()) if c in rows.columns]
     counted = F.coalesce(F.sum("total_loans"), F.lit(0)).alias("total_loans")
@@ -73,12 +73,12 @@ def _finished(rows: DataFrame, *keys: str) -> DataFrame:
 
 def _one_row_per_industry(rows: DataFrame) -> DataFrame:
     described = F.coalesce(F.max("naics_description"), F.lit(model.UNKNOWN))
-    return rows.groupBy(INDUSTRY).agg(described.alias("naics_description"), *_added_up(rows))
+    return rows.groupBy(INDUSTRY).agg(described.alias("naics_description"), *added_up(rows))
 
 
 def _per_sector(rows: DataFrame) -> DataFrame:
     sector = sector_of(F.col(INDUSTRY)).alias(SECTOR)
-    return rows.groupBy(sector).agg(*_added_up(rows))
+    return rows.groupBy(sector).agg(*added_up(rows))
 
 
 def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
@@ -90,17 +90,17 @@ def totals(loans: DataFrame | Facets, key: str | None = None) -> DataFrame:
     if isinstance(loans, Facets):
         return loans.totals(key)
     if key is None:
-        return _finished(loans.agg(*_measures(loans)))
+        return _finished(loans.agg(*loan_measures(loans)))
     if key in _NEEDS_KEY:
         loans = filters.known(loans, key)
     if key == SECTOR:
         # The sector depends on two digits; it is looked up once per pair of them.
         digits = loans.withColumn(INDUSTRY, F.left(INDUSTRY, F.lit(2)))
-        return _finished(_per_sector(digits.groupBy(INDUSTRY).agg(*_measures(loans))), SECTOR)
+        return _finished(_per_sector(digits.groupBy(INDUSTRY).agg(*loan_measures(loans))), SECTOR)
     if key == INDUSTRY:
-        fine = loans.groupBy(INDUSTRY, "naics_description").agg(*_measures(loans))
+        fine = loans.groupBy(INDUSTRY, "naics_description").agg(*loan_measures(loans))
         return _finished(_one_row_per_industry(fine), INDUSTRY, "naics_description")
-    return _finished(loans.groupBy(key).agg(*_measures(loans)), key)
+    return _finished(loans.groupBy(key).agg(*loan_measures(loans)), key)
 
 
 class Facets:
@@ -124,7 +124,7 @@ class Facets:
     def __init__(self, loans: DataFrame):
         self.table = (
             loans.groupingSets(list(self._SETS.values()), *self._KEYS)
-            .agg(F.grouping_id().alias("grouping"), *_measures(loans))
+            .agg(F.grouping_id().alias("grouping"), *loan_measures(loans))
             .persist()
         )
 
@@ -139,7 +139,7 @@ class Facets:
         """The totals of one key, as ``totals`` gives them."""
         if key is None:
             rows = self.rows(PROGRAM)
-            return _finished(rows.agg(*_added_up(rows)))
+            return _finished(rows.agg(*added_up(rows)))
         if key == SECTOR:
             return _finished(_per_sector(self.rows(INDUSTRY)), SECTOR)
         rows = self.rows(key)

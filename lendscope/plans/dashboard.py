@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.operators import display, measures, options
+from lendscope.operators import display, kept_totals, measures, options
 from lendscope.operators.filters import NO_FILTER, LoanFilter
+from lendscope.operators.kept_totals import KeptFacets
 from lendscope.operators.measures import FACT_COLUMNS, Facets
 
 
@@ -30,16 +31,8 @@ class Dashboard:
         self.facets.release()
 
 
-def dashboard(loans: DataFrame, chosen: LoanFilter = NO_FILTER) -> Dashboard:
-    """H5: scope, filter choices, and ten aggregates of one slice.
-
-    The ten aggregates share one pass over the slice: its totals per key are
-    kept (A19), and each panel reads those few rows.  Keeping the slice itself
-    would need memory in step with the data.
-    """
-    fact = loans.select(*[c for c in FACT_COLUMNS if c in loans.columns])
-    facets = Facets(chosen.apply(fact))
-    panels = {
+def _panels(facets: Facets) -> dict[str, DataFrame]:
+    return {
         "overview": measures.overview(facets),
         "state_funding": measures.state_funding(facets),
         "industry_analysis": measures.industry_analysis(facets),
@@ -51,6 +44,27 @@ def dashboard(loans: DataFrame, chosen: LoanFilter = NO_FILTER) -> Dashboard:
         "jobs_per_million_by_state": measures.jobs_per_million_by_state(facets),
         "program_comparison": measures.program_comparison(facets),
     }
+
+
+def _findings(panels: dict[str, DataFrame]) -> DataFrame:
+    return display.key_findings(
+        panels["state_funding"],
+        panels["industry_analysis"],
+        panels["charge_off_rate_by_sector"],
+        panels["top_lenders"],
+    )
+
+
+def dashboard(loans: DataFrame, chosen: LoanFilter = NO_FILTER) -> Dashboard:
+    """H5: scope, filter choices, and ten aggregates of one slice.
+
+    The ten aggregates share one pass over the slice: its totals per key are
+    kept (A19), and each panel reads those few rows.  Keeping the slice itself
+    would need memory in step with the data.
+    """
+    fact = loans.select(*[c for c in FACT_COLUMNS if c in loans.columns])
+    facets = Facets(chosen.apply(fact))
+    panels = _panels(facets)
     return Dashboard(
         scope=measures.dataset_scope(fact),
         states=options.states(fact),
@@ -58,12 +72,23 @@ def dashboard(loans: DataFrame, chosen: LoanFilter = NO_FILTER) -> Dashboard:
         industries=options.industries(fact),
         caption=display.slice_caption(fact, chosen),
         panels=panels,
-        findings=display.key_findings(
-            panels["state_funding"],
-            panels["industry_analysis"],
-            panels["charge_off_rate_by_sector"],
-            panels["top_lenders"],
-        ),
+        findings=_findings(panels),
+        facets=facets,
+    )
+
+
+def kept_dashboard(totals: DataFrame, chosen: LoanFilter = NO_FILTER) -> Dashboard:
+    """H5 from stored totals (A19): no part of the page reads the loans."""
+    facets, everything = KeptFacets(totals, chosen), KeptFacets(totals, NO_FILTER)
+    panels = _panels(facets)
+    return Dashboard(
+        scope=kept_totals.dataset_scope(everything),
+        states=options.states(everything.rows(measures.STATE)),
+        fiscal_years=options.fiscal_years(everything.rows(kept_totals.YEAR)),
+        industries=options.industries(everything.rows(measures.INDUSTRY)),
+        caption=display.slice_caption(everything.rows(measures.INDUSTRY), chosen),
+        panels=panels,
+        findings=_findings(panels),
         facets=facets,
     )
 
