@@ -21,7 +21,8 @@ from checks import file_queries, loans, raw_files
 from checks.measure_queries import QUESTIONS, VIEW_QUESTIONS
 from lendscope.operators import cleaning, profiling, sinks
 from lendscope.plans import jobs
-from lendscope.plans.dashboard import dashboard
+from lendscope.plans.dashboard import dashboard, kept_dashboard
+from lendscope.plans.store import LoanStore
 from lendscope.session import configure, scratch_path
 from lendscope.sources.discover import discover
 
@@ -87,6 +88,14 @@ def main() -> None:
         shown.release()
 
     queries["h5_dashboard_cold"] = seconds(page, 3)
+    store = LoanStore(spark, scratch_path(spark, "bench-store"))
+    queries["load_with_kept_totals"] = seconds(lambda: store.refresh(loans.derive(spark, SF_DIR)), 1)
+
+    def kept_page() -> None:
+        for panel in kept_dashboard(store.totals()).panels.values():
+            run(panel)
+
+    queries["h5_kept_dashboard_cold"] = seconds(kept_page, 3)
     queries["d18_numeric_stats_cold"] = seconds(lambda: run(profiling.numeric_stats(table)), 3)
     queries["d17_null_percentages_cold"] = seconds(lambda: run(profiling.null_percentages(table)), 3)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from checks.results import plain
 from lendscope.model import BLOCKED_WORDS
 from lendscope.operators import adhoc, display, measures, responses, views
 from lendscope.operators.filters import LoanFilter
-from lendscope.plans.dashboard import dashboard, panel_lines
+from lendscope.plans.dashboard import dashboard, kept_dashboard, panel_lines
+from lendscope.plans.store import LoanStore
+from lendscope.session import scratch_path
 
 # A log of ad-hoc queries, one per event, in SQL that both dialects take.  The
 # kinds of text are those the rules tell apart.
@@ -291,6 +294,40 @@ def _dashboard(chosen: LoanFilter) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+@lru_cache(maxsize=8)
+def _store_path(application: str, spark: SparkSession, sf_dir: str) -> str:
+    """A table of two loads, the second one added to the first."""
+    store = LoanStore(spark, scratch_path(spark, "loan-store"))
+    fact = loans.derive(spark, sf_dir)
+    odd = F.col("loan_id") % 2 == 1
+    store.refresh(fact.where(odd))
+    store.add(fact.where(~odd))
+    return store.path
+
+
+def _store(spark: SparkSession, sf_dir: str) -> LoanStore:
+    return LoanStore(spark, _store_path(spark.sparkContext.applicationId, spark, sf_dir))
+
+
+def _kept_dashboard(chosen: LoanFilter) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return panel_lines(kept_dashboard(_store(spark, sf_dir).totals(), chosen))
+
+    return run
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per load's year after a refresh took the place of other rows."""
+    store = LoanStore(spark, scratch_path(spark, "refreshed-loans"))
+    fact = loans.derive(spark, sf_dir)
+    store.refresh(fact.where("loan_id % 3 = 0"))
+    store.refresh(fact)
+    found = store.loans().groupBy("approval_fiscal_year", "loan_status").agg(
+        F.count(F.lit(1)).alias("total_loans"), F.sum("loan_amount").alias("amount")
+    )
+    return plain(found)
+
+
 _PANELS = {
     "d1_overview": ("overview", "'All'", "total_funding"),
     "d7_state_funding": ("state_funding", "borrower_state", "total_funding"),
@@ -382,6 +419,19 @@ def queries() -> dict[str, Query]:
         "g7_g8_g9_answers": (_answers, _ANSWERS_SQL),
         "h5_dashboard": (_dashboard(LoanFilter()), _dashboard_sql(None)),
         "h5_dashboard_in_year": (_dashboard(year), _dashboard_sql(in_year)),
+        "h5_kept_dashboard": (_kept_dashboard(LoanFilter()), _dashboard_sql(None)),
+        "h5_kept_dashboard_in_year": (_kept_dashboard(year), _dashboard_sql(in_year)),
+        "h5_kept_dashboard_in_state_year": (
+            _kept_dashboard(LoanFilter(state="NATION_3", fiscal_year=1998)),
+            _dashboard_sql(f"{in_year} AND borrower_state = 'NATION_3'"),
+        ),
+        "a12_full_refresh": (
+            _refreshed,
+            over_loans(
+                "SELECT approval_fiscal_year, loan_status, COUNT(*) AS total_loans, "
+                "CAST(SUM(loan_amount) AS DOUBLE) AS amount FROM loans GROUP BY 1, 2"
+            ),
+        ),
         "h6_key_findings": (_findings(LoanFilter()), _findings_sql(None)),
         "h6_key_findings_in_year": (_findings(year), _findings_sql(in_year)),
         "h6_key_findings_nowhere": (
