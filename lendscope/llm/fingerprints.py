@@ -1,14 +1,14 @@
 """Similarity digests of documents from their improbable features.
 
-Every window of 64 bytes has an entropy; how rare that entropy is among all windows
-of all documents is the window's rank.  A window that is the rarest of its
-neighbourhood often enough is a feature.  Features go, in order, into a chain of
+Every window of 16 bytes has an entropy; how rare that entropy is among all windows
+of all documents is the window's rank.  A window that is the rarest of some eight that
+follow each other is a feature, in texts of every length.  Features go, in order, into a chain of
 Bloom filters, a full one making room for the next.  Two digests are compared
 filter by filter: the shared bits beyond what chance gives, as a share of the most
 there could be.
 
 Entropies of a whole batch are computed at once: a byte's count among its
-neighbours comes from comparing the batch with itself at 63 distances, and an
+neighbours comes from comparing the batch with itself at 15 distances, and an
 entropy changes from window to window by what enters and leaves.
 """
 
@@ -25,15 +25,13 @@ from pyspark.sql import functions as F
 
 from lendscope.llm.common import ready, stored
 
-WINDOW = 64
-#: A feature is the rarest in so many neighbourhoods of 64 windows; in a text of fewer
-#: bytes than SHORT once is enough, and one of fewer than SHORTEST has all its windows
-#: of TINY bytes for features.
-POPULAR = 16
-SHORT, SHORTEST, TINY = 640, 160, 16
-FILTER_BITS, FEATURE_BITS, FILTER_FEATURES = 2048, 5, 160
+#: Bytes of a window; a text of fewer is padded to one.
+WINDOW = 16
+#: A feature is the rarest of so many windows that follow each other, somewhere in the text.
+NEIGHBOURS = 8
+FILTER_BITS, FEATURE_BITS, FILTER_FEATURES = 2048, 4, 256
 LEVELS = 1024
-#: Windows of less entropy, as a share of the most, tell nothing.
+#: Windows of less entropy, as a share of the most, come behind all others.
 LEAST_ENTROPY = 0.2
 _UNIT = 1 << 16
 _TERMS = np.array([round(n * np.log2(n) * _UNIT) if n else 0 for n in range(WINDOW + 1)], np.int64)
@@ -81,46 +79,30 @@ def entropy_levels(laid: np.ndarray, begins: np.ndarray, lengths: np.ndarray) ->
 
 
 def _features(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
-    """Feature hashes of each text, in order, each once."""
-    laid, begins, lengths = _laid_out(texts)
+    """Feature hashes of each text, in order, each once; the same rule at every length."""
+    laid, begins, lengths = _laid_out([t.ljust(WINDOW, b"\0") for t in texts])
     levels = entropy_levels(laid, begins, lengths)
-    rank = np.where(levels >= 0, ranks[levels], _NEVER)
+    some = levels >= 0
+    rank = np.where(some, ranks[levels], _NEVER)
     keys = (rank << np.int64(31)) | np.arange(len(laid), dtype=np.int64)
-    # The least key of 64 neighbours, by doubling; what is behind the end never wins.
-    least = np.concatenate([keys, np.full(WINDOW, np.iinfo(np.int64).max)])
+    # The least key of the neighbours, by doubling; what is behind the end never wins.
+    least = np.concatenate([keys, np.full(NEIGHBOURS, np.iinfo(np.int64).max)])
     span = 1
-    while span < WINDOW:
+    while span < NEIGHBOURS:
         least[:-span] = np.minimum(least[:-span], least[span:])
         span *= 2
-    least = least[: len(laid)][rank < _NEVER]
-    wins = np.bincount(least & ((1 << 31) - 1), minlength=len(laid))
-    wanted = np.full(len(laid), POPULAR)
-    for begin, length in zip(begins[lengths < SHORT], lengths[lengths < SHORT], strict=True):
-        wanted[begin : begin + length] = 1
-    places = np.flatnonzero((wins >= wanted) & (rank < _NEVER))
+    places = np.unique(least[: len(laid)][some] & ((1 << 31) - 1))
     data = laid.astype(np.uint8)
     chosen = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[places]
     hashed = _hash_rows(np.ascontiguousarray(chosen))
     cuts = np.searchsorted(places, [begins, begins + lengths])
     found = []
-    for begin, length, a, b in zip(begins, lengths, *cuts, strict=True):
+    for a, b in zip(*cuts, strict=True):
         mine = hashed[a:b]
-        if length < SHORTEST or not len(mine):
-            mine = _plain_features(data[begin : begin + length])
-        if len(mine) > 1:
-            mine = mine[np.sort(np.unique(mine, return_index=True)[1])]
-        found.append(mine)
+        found.append(mine[np.sort(np.unique(mine, return_index=True)[1])])
     return found
 
 
-def _plain_features(text: np.ndarray) -> np.ndarray:
-    """Features of a text too short or too plain for popular windows: all small windows."""
-    padded = np.concatenate([text, np.zeros(max(0, TINY - len(text)), np.uint8)])
-    return _hash_rows(
-        np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, TINY))
-    )
-
-
 def _hash_rows(rows: np.ndarray) -> np.ndarray:
     parts = rows.view(np.uint64).reshape(len(rows), rows.shape[1] // 8)
     value = np.zeros(len(rows), np.uint64)
@@ -169,13 +151,13 @@ def likeness(one: np.ndarray, other: np.ndarray) -> float:
         return float(len(one) == len(other))
     if one.shape == other.shape and (one == other).all():
         return 1.0
-    if len(one) > len(other):
+    if (len(one), one.sum()) > (len(other), other.sum()):
         one, other = other, one
     a, b = one.sum(1, dtype=np.int64), other.sum(1, dtype=np.int64)
     shared = one.astype(np.float32) @ other.astype(np.float32).T
     chance = np.outer(a, b) / FILTER_BITS
-    most = np.minimum.outer(a, b)
-    score = np.clip((shared - chance) / np.maximum(most - chance, 1e-9), 0, 1).max(1)
+    # All of a filter's bits can be shared, never more; a small one holds little of a full one.
+    score = np.clip((shared - chance) / np.maximum(a[:, None] - chance, 1e-9), 0, 1).max(1)
     return float((score * a).sum() / a.sum())
 
 
@@ -198,7 +180,7 @@ def _level_counts(batches: Iterator[pa.RecordBatch]):
 def entropy_ranks(documents: DataFrame, *, text_column: str = "text") -> np.ndarray:
     """Rank of each entropy level: the rarer among all windows, the smaller.
 
-    One row a level leaves a task.  Levels that tell nothing have no rank.
+    One row a level leaves a task.  Levels that tell little come last.
     """
     ready(documents.sparkSession)
     texts = documents.select(F.col(text_column).cast("string").alias("text"))
@@ -209,7 +191,7 @@ def entropy_ranks(documents: DataFrame, *, text_column: str = "text") -> np.ndar
     order = np.lexsort((np.arange(LEVELS), counts))
     ranks = np.empty(LEVELS, np.int64)
     ranks[order] = np.arange(LEVELS)
-    ranks[: int(LEAST_ENTROPY * LEVELS)] = _NEVER
+    ranks[: int(LEAST_ENTROPY * LEVELS)] = LEVELS
     return ranks
 
 
