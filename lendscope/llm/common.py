@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,27 @@ def hold(name: str, forget: Callable[[], object]) -> None:
         _holder[:] = [(name, forget)]
 
 
+_written: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Note in ``paths`` the tables that are stored meanwhile, for ``drop``."""
+    _written.append(paths)
+    try:
+        yield
+    finally:
+        _written.pop()
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more, and forget them."""
+    jvm = spark.sparkContext._jvm
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows, read from a table in the folder that all executors share.
 
@@ -50,7 +72,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
+    # Shuffle files go once the driver's garbage collector finds their plans unused, which
+    # a driver with little to do would leave for long.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

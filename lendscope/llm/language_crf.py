@@ -54,6 +54,8 @@ class Model:
     weights: np.ndarray
     transitions: np.ndarray
     languages: tuple[str, ...]
+    #: Per row of the flattened tables, whether two or more texts learned from have it.
+    known: np.ndarray | None = None
 
 
 def letters_of(token: str) -> str:
@@ -177,6 +179,29 @@ def marginals(scores: np.ndarray, starts: np.ndarray, transitions: np.ndarray) -
     return found / found.sum(1, keepdims=True)
 
 
+def _known_features(documents: Sequence[Sequence[str]]) -> np.ndarray:
+    """Per row of the flattened tables, whether words of two or more different texts have it."""
+    texts = list(dict.fromkeys(map(tuple, documents)))
+    holder: dict[str, int] = {}
+    for i, words in enumerate(texts):
+        for word in set(words):
+            holder[word] = i if holder.get(word, i) == i else -1
+    # A word of several texts counts for two that no other word is of.
+    counts = np.zeros(_TABLES << _TABLE_BITS, np.int64)
+    pairs = []
+    words = sorted(holder, key=len)
+    for start in range(0, len(words), 4096):
+        mine = words[start : start + 4096]
+        rows, used = _features(mine)
+        of = np.broadcast_to(np.array([holder[w] for w in mine])[:, None], rows.shape)
+        counts[rows[used & (of < 0)]] = 2
+        once = used & (of >= 0)
+        pairs.append(np.unique(rows[once] * len(texts) + of[once]))
+    if pairs:
+        counts += np.bincount(np.unique(np.concatenate(pairs)) // len(texts), minlength=len(counts))
+    return counts >= 2
+
+
 def sequences_of(documents: int) -> int:
     """Training sequences for so many documents."""
     return SEQUENCES_A_DOCUMENT * documents
@@ -189,8 +214,9 @@ def fit(
     passes: int = 3,
     length: int = 48,
     seed: int = 11,
+    evidence: bool = False,
 ) -> Model:
-    """Learn from texts with one language each."""
+    """Learn from texts with one language each; ``evidence`` keeps which features are known."""
     names = tuple(sorted(set(languages)))
     number = {name: i for i, name in enumerate(names)}
     drawn = np.random.default_rng(seed)
@@ -202,12 +228,13 @@ def fit(
     own: dict[int, list[list[str]]] = {}
     for label, words in documents:
         own.setdefault(label, []).append(words)
+    known = _known_features([words for _, words in documents]) if evidence else None
     weights = np.zeros((_TABLES << _TABLE_BITS, len(names)), np.float32)
     squares = np.full(weights.shape, 1e-2, np.float32)
     transitions = np.zeros((len(names), len(names)))
     slopes = np.full(transitions.shape, 1e-2)
     if not documents or len(names) < 2:
-        return Model(weights.reshape(_TABLES, -1, len(names)), transitions, names)
+        return Model(weights.reshape(_TABLES, -1, len(names)), transitions, names, known)
     pool: dict[str, int] = {}
 
     def stretch() -> tuple[list[int], list[int]]:
@@ -277,7 +304,7 @@ def fit(
             slope += 1e-5 * weights[touched]
             squares[touched] += slope**2
             weights[touched] -= 0.1 * slope / np.sqrt(squares[touched])
-    return Model(weights.reshape(_TABLES, -1, len(names)), transitions, names)
+    return Model(weights.reshape(_TABLES, -1, len(names)), transitions, names, known)
 
 
 def learn(
@@ -288,6 +315,7 @@ def learn(
     id_column: str = "doc_id",
     text_column: str = "text",
     language_column: str = "lang",
+    evidence: bool = False,
 ) -> Model | None:
     """Fit on about ``per_language`` documents of each language, drawn by a hash of the id.
 
@@ -319,7 +347,9 @@ def learn(
         .limit(2 * per_language * len(sizes))
         .collect()
     )
-    return fit([r["text"] for r in sample], [r["language"] for r in sample]) if sample else None
+    if not sample:
+        return None
+    return fit([r["text"] for r in sample], [r["language"] for r in sample], evidence=evidence)
 
 
 class _Scores:
@@ -327,15 +357,22 @@ class _Scores:
 
     def __init__(self, model: Model):
         self.model = model
+        # Behind the languages: known features, and all of them, added up in the same way.
+        flat = model.weights.reshape(-1, model.weights.shape[-1])
+        known = np.zeros(len(flat), bool) if model.known is None else model.known
+        self.weights = np.concatenate(
+            [flat, known[:, None], np.ones((len(flat), 1))], 1, dtype=np.float32
+        )
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((0, len(self.model.languages)), np.float32)
+        self.table = np.zeros((0, len(self.model.languages) + 2), np.float32)
         self.lettered = np.zeros(0, np.int64)
 
-    def of(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of all tokens one after the other, and how many parts with letters each has."""
+    def of(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of all tokens one after the other, how many parts with letters each has,
+        and the share of its features that are known."""
         if len(self.rows) > _WORDS_KEPT:
             self.clear()
         new = [t for t in set(chain.from_iterable(tokens)).difference(self.rows)]
@@ -343,14 +380,15 @@ class _Scores:
         with_letters = [i for i, w in enumerate(words) if w]
         scores = np.zeros((len(new), self.table.shape[1]), np.float32)
         if with_letters:
-            scores[with_letters] = word_scores(self.model.weights, [words[i] for i in with_letters])
+            scores[with_letters] = word_scores(self.weights, [words[i] for i in with_letters])
         lettered = np.array([-(-len(w) // _LONGEST) for w in words], np.int64)
         self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
         self.table = np.concatenate([self.table, scores])
         self.lettered = np.concatenate([self.lettered, lettered])
         count = sum(map(len, tokens))
         at = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(tokens)), np.int64, count)
-        return self.table[at], self.lettered[at]
+        found = self.table[at]
+        return found[:, :-2], self.lettered[at], found[:, -2] / np.maximum(found[:, -1], 1)
 
 
 _kept: list[tuple[bytes, _Scores]] = []
@@ -358,49 +396,55 @@ _kept: list[tuple[bytes, _Scores]] = []
 
 def _scores(model: Model) -> _Scores:
     hold("languages", _kept.clear)
-    key = model.weights.tobytes()[:: 1 << 10] + repr(model.languages).encode()
+    known = b"" if model.known is None else model.known.tobytes()[:: 1 << 6]
+    key = model.weights.tobytes()[:: 1 << 10] + repr(model.languages).encode() + known
     if not _kept or _kept[0][0] != key:
         _kept[:] = [(key, _Scores(model))]
     return _kept[0][1]
 
 
 def _tagged(texts: list[str | None], scores: _Scores):
-    """Probabilities of all words, their parts with letters, and where each text begins."""
+    """Probabilities of all words, their parts with letters, where each text begins, and the
+    share of each word's features that are known."""
     tokens = [t.split() if t else [] for t in texts]
     begins = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
-    emitted, lettered = scores.of(tokens)
+    emitted, lettered, known = scores.of(tokens)
     starts = np.zeros(len(emitted), bool)
     starts[begins[:-1][begins[:-1] < len(emitted)]] = True
-    return marginals(emitted, starts, scores.model.transitions), lettered, begins
+    return marginals(emitted, starts, scores.model.transitions), lettered, begins, known
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], model: Model, sure: bool):
     scores = _scores(model)
     for batch in batches:
-        found, lettered, begins = _tagged(batch.column(1).to_pylist(), scores)
-        # The last column is the largest probability of each word.
-        found = np.concatenate([found, found.max(1, initial=0.0, keepdims=True)], 1)
+        found, lettered, begins, known = _tagged(batch.column(1).to_pylist(), scores)
+        # The last columns are each word's largest probability and its known share.
+        found = np.concatenate(
+            [found, found.max(1, initial=0.0, keepdims=True), known[:, None]], 1
+        )
         sums = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found * lettered[:, None], 0)])
         mass = sums[begins[1:]] - sums[begins[:-1]]
-        mass, largest = mass[:, :-1], mass[:, -1]
+        mass, largest, known = mass[:, :-2], mass[:, -2], mass[:, -1]
         total = mass.sum(1)
         best = mass.argmax(1)
         some = total > 1e-6
         share = np.where(some, mass[np.arange(len(mass)), best] / np.where(some, total, 1), 0.0)
         names = [model.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
         surest = np.where(some, largest / np.where(some, total, 1), 0.0)
-        words = [pa.array(np.clip(surest, 0, 1))] * sure
+        backed = np.where(some, known / np.where(some, total, 1), 0.0)
+        words = [pa.array(np.clip(x, 0, 1)) for x in (surest, backed)] if sure else []
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(names, pa.string()), pa.array(np.clip(share, 0, 1)),
              *words, *batch.columns[2:]],
-            names=["doc_id", "lang_pred", "score", *["word_score"] * sure, *batch.schema.names[2:]],
+            names=["doc_id", "lang_pred", "score", *["word_score", "known_share"] * sure,
+                   *batch.schema.names[2:]],
         )
 
 
 def _spans(batches: Iterator[pa.RecordBatch], model: Model):
     scores = _scores(model)
     for batch in batches:
-        found, _, begins = _tagged(batch.column(1).to_pylist(), scores)
+        found, _, begins, _ = _tagged(batch.column(1).to_pylist(), scores)
         best = found.argmax(1)
         spans = []
         for begin, end in zip(begins[:-1], begins[1:], strict=True):
@@ -435,7 +479,10 @@ def identify(
     ``score`` is the language's share of probability over the words with letters, where
     one of more than 128 letters counts once for each 128 begun, as in training.
     ``sure`` adds ``word_score``, the mean over these words of the largest probability
-    of each: a text in several languages has a high one where its words are clear.
+    of each: a text in several languages has a high one where its words are clear.  It
+    also adds ``known_share``, the mean share of their features that two or more texts
+    of the sample have (0 for a model without evidence): what is in no learned language
+    has a low one, however sure the model is of it, and one text cannot vouch for itself.
     A null text and one without letters is ``und`` with score 0, and so is every
     text without a model.  Ties go to the first language by name.  A null id stays
     null, repeated rows come back each, an empty table gives an empty result, and
@@ -447,10 +494,10 @@ def identify(
             "doc_id",
             F.lit(UNKNOWN).alias("lang_pred"),
             F.lit(0.0).alias("score"),
-            *[F.lit(0.0).alias("word_score")] * sure,
+            *[F.lit(0.0).alias(c) for c in ("word_score", "known_share")][: 2 * sure],
             *["row"] * carry,
         )
-    words = ", word_score double" * sure
+    words = ", word_score double, known_share double" * sure
     return texts.mapInArrow(
         lambda batches: _predicted(batches, model, sure),
         with_row(f"doc_id long, lang_pred string, score double{words}", documents, carry),

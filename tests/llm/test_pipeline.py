@@ -131,7 +131,13 @@ def test_mixed_languages_stay(spark):
         (-1 - i, " ".join(w for lang, n in mix.items() for w in words[lang][500 : 500 + n]), "x")
         for i, mix in enumerate(mixes)
     ]
-    rows += [(-10, "これは日本語の文章です", "x"), (-11, "12 34", "x"), (-12, None, "x")]
+    # Each wrongly labelled once, so each is learned from, and two are there twice.
+    others = [
+        "これは日本語の文章です", "Это русский текст о погоде", "한국어 문장입니다 오늘은",
+        "zzz qqq xxkj", "xkqj wvvz",
+    ]
+    rows += [(-10 - i, text, "x") for i, text in enumerate(others + others[:2])]
+    rows += [(-30, "12 34", "x"), (-31, None, "x")]
     given = docs.select(*pipeline.COLUMNS).unionByName(
         _documents(spark, rows).withColumn("n_chars", F.col("n_chars").cast(docs.schema["n_chars"].dataType))
     )
