@@ -7,24 +7,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscope.llm import language_crf, mixing, pieces, rule_quality
-from lendscope.llm.common import stored, table
+from lendscope.llm.common import drop, recording, stored, table
 from lendscope.llm.near_dedup import near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Words whose most likely languages have less probability than this on average are in none.
-SURE_LANGUAGE = 0.5
+#: Words whose most likely languages have less probability than this on average are in none,
+#: and so are those of whose features a smaller share is known from two texts or more.
+SURE_LANGUAGE, KNOWN_LANGUAGE = 0.5, 0.75
 GOOD_FROM = 0.3
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one or more of the languages that the given ones teach.
 
-    Texts without letters go, and those whose words have no clear language each; how
-    many languages share a text does not matter.
+    Texts without letters go, those whose words have no clear language each, and those
+    whose words are not known from other texts, so that a wrong label cannot keep its own
+    text; how many languages share a text does not matter.
     """
-    model = language_crf.learn(docs)
+    model = language_crf.learn(docs, evidence=True)
     found = language_crf.identify(docs.select(*COLUMNS), model, carry=True, sure=True).where(
-        (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("word_score") >= SURE_LANGUAGE)
+        (F.col("lang_pred") != language_crf.UNKNOWN)
+        & (F.col("word_score") >= SURE_LANGUAGE)
+        & (F.col("known_share") >= KNOWN_LANGUAGE)
     )
     return found.select("row.*")
 
@@ -109,12 +113,20 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     taken = mixing.mix(rows, id_column="row_key").select(
         F.col("doc_id").alias("row_key"), "copy"
     )
-    # The order in which mix numbers copies; what ties in it is of one source and size.
+    # Only rows whose key occurs twice need numbers; in the order in which mix numbers
+    # copies, where what ties is of one source and size.
+    repeated = (
+        rows.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key")
+    )
+    repeated = stored(repeated, "repeated-rows")
     numbered = Window.partitionBy("row_key").orderBy(
         "source", mixing.word_count("text"), "doc_id", "text", "lang", "n_chars"
     )
-    copies = rows.withColumn("copy", (F.row_number().over(numbered) - 1).cast("int"))
-    return copies.join(taken, ["row_key", "copy"]).select(*COLUMNS)
+    single = rows.join(repeated, "row_key", "left_anti").withColumn("copy", F.lit(0))
+    several = rows.join(repeated, "row_key", "left_semi").withColumn(
+        "copy", (F.row_number().over(numbered) - 1).cast("int")
+    )
+    return single.unionByName(several).join(taken, ["row_key", "copy"]).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -135,10 +147,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each reads what the one before has written."""
+    """All stages over the documents; each reads what the one before has written.
+
+    What a stage stored on its way is deleted once its result is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        scratch: list[str] = []
+        with recording(scratch):
+            docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = stored(docs, f"stage-{name}")
+            drop(spark, scratch)
     return docs
