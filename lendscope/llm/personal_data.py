@@ -37,9 +37,11 @@ TERM = r"^[\p{L}\p{M}'’-]{2,}$"
 _SPACES, _TOKEN = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
 #: Words on each side of a value that count as near it, and lines that must show a pair.
 NEAR, SUPPORT = 8, 3
-#: 1 / (1 - threshold): a word tells over 3/4, over 7/8 of a value's information.
-GENERAL, REMOVED = 4, 8
+#: 1 / (1 - threshold) of the least threshold: 3/4 of a value's information.
+GENERAL = 4
 _BLOCK = 256
+#: Common words are seen in one of so many lines.
+_PARTS = 64
 
 
 def _passes_luhn(digits: Column) -> Column:
@@ -197,7 +199,7 @@ def disclosing_terms(
     lines = (
         documents.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
         .where("line <> ''")
-        .select("line", F.unhex(F.sha2("line", 256)).alias("at"))
+        .select("line", F.substring(F.unhex(F.sha2("line", 256)), 1, 16).alias("at"))
     )
     found = lines.select("*", *[_matches(F.col("line"), k).alias(f"{k}_found") for k in PATTERNS])
     some = [F.size(f"{k}_found") > 0 for k in PATTERNS]
@@ -214,22 +216,33 @@ def disclosing_terms(
     )
     values = seen.where("term = ''").select("kind", "value", F.col("n_pair").alias("n_value"))
     pairs = seen.where("term <> ''")
-    candidates = pairs.select("term").distinct()
-    held = (
-        lines.select("at", F.explode(F.array_distinct(_terms(F.col("line")))).alias("term"))
-        .join(candidates, "term")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+    n_lines = lines.select("at").distinct().count()
+    joined = pairs.join(values, ["kind", "value"]).withColumn(
+        "n_lines", F.lit(n_lines).cast("double")
     )
-    n_lines = lines.select("at").distinct().agg(F.count("*").cast("double").alias("n_lines"))
+    # A term of more lines than this tells less than the least threshold of each value.
+    most = F.max(F.col("n_pair") * F.pow(F.col("n_lines") / F.col("n_value"), 1 / GENERAL))
+    limits = joined.groupBy("term").agg((most * 1.001 + 1).alias("most"))
+
+    def counted(rows: DataFrame, terms: DataFrame) -> DataFrame:
+        return (
+            rows.select("at", F.explode(F.array_distinct(_terms(F.col("line")))).alias("term"))
+            .join(terms.select("term"), "term")
+            .distinct()
+            .groupBy("term")
+            .agg(F.count("*").alias("n_term"))
+        )
+
+    # Most terms near values are common words.  Those of too many lines in a part of the
+    # lines have too many in all, and their lines need not be told apart.
+    part = lines.where(F.pmod(F.xxhash64("at"), F.lit(_PARTS)) == 0)
+    common = counted(part, limits).join(limits, "term").where("n_term > most").select("term")
+    rare = stored(limits.join(common, "term", "left_anti").select("term"), "rare-terms")
     share = F.col("n_pair").cast("double") / F.col("n_term").cast("double")
     squared = F.col("share") * F.col("share")
     fourth = F.col("squared") * F.col("squared")
     joined = (
-        pairs.join(held, "term")
-        .join(values, ["kind", "value"])
-        .withColumn("n_lines", F.lit(n_lines.head()[0]))
+        joined.join(counted(lines, rare), "term")
         .withColumn("share", share)
         .withColumn("squared", squared)
         .withColumn("fourth", fourth)

@@ -7,6 +7,7 @@ import random
 import re
 
 import duckdb
+import pytest
 
 from lendscope.llm import personal_data, sql
 
@@ -101,7 +102,9 @@ def against_sql(texts, rows):
     return connection.execute(sql.personal_data()).fetchall()
 
 
-def test_disclosing_terms_equal_sql(spark):
+@pytest.mark.parametrize("parts", [64, 1])
+def test_disclosing_terms_equal_sql(spark, monkeypatch, parts):
+    monkeypatch.setattr(personal_data, "_PARTS", parts)
     texts = telling_texts()
     expected = against_sql(texts, [[i, text] for i, text in enumerate(texts)])
     got = found(spark, texts)
