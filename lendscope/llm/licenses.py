@@ -58,6 +58,38 @@ NOTICES = {
     "CC-BY-4.0": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License"
     ),
+    "CC-BY-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+        "License"
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work"
+    ),
+    "GPL-2.0-or-later": "version 2 of the License, or (at your option) any later version",
+    "GPL-3.0-or-later": "version 3 of the License, or (at your option) any later version",
+    "LGPL": (
+        "under the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation"
+    ),
+    "AGPL": (
+        "under the terms of the GNU Affero General Public License as published by the Free "
+        "Software Foundation"
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    ),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT."
+    ),
+    "BSD-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY '
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
 }
 WIDTH, PERCENT, BANDS = 5, 80, 128
 #: Templates and their words are broadcast; more are an error.
@@ -118,9 +150,7 @@ def _bands(shingles: Column, bands: int) -> Column:
     def least(band: int) -> Column:
         return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(band))))
 
-    return F.array(
-        *[F.struct(F.lit(k).alias("band"), least(k).alias("value")) for k in range(bands)]
-    )
+    return F.array(*map(least, range(bands)))
 
 
 def window_words(template_words: int) -> int:
@@ -177,9 +207,10 @@ def scan(
 
     Words are runs of letters, combining marks and digits, lower-cased; spaces, quotes,
     dashes and bullets beyond ASCII part them like others.  A document without a match,
-    null and empty texts included, gives no row; rows with equal ids are scanned
-    together as one document, so repeated rows count their windows each; null ids
-    are one id; an empty table gives an empty result; other columns are not looked
+    null and empty texts included, gives no row; rows with equal ids, whether their texts
+    are equal or not, are reported as one document, and each counts its own windows;
+    among best windows with one first word the one of more words is reported; null ids are
+    one id; an empty table gives an empty result; other columns are not looked
     at.
     """
     spark = documents.sparkSession
@@ -217,36 +248,42 @@ def scan(
         F.size("part").alias("n_words"),
         F.explode(F.array(shingles_of(F.col("part")))).alias("shingles"),
     ).where(F.arrays_overlap("shingles", wanted))
-    posted = signed.withColumn("b", F.explode(_bands(F.col("shingles"), bands)))
+    # Made once for all bands, like the words above.
+    signatures = signed.withColumn("bands", F.explode(F.array(_bands(F.col("shingles"), bands))))
+    posted = signatures.select("*", F.posexplode("bands").alias("band", "value"))
     # Templates are of bounded size, one row a band.
     posts = F.broadcast(
-        known.select("license", "window", "wanted", F.explode("bands").alias("t")).select(
+        known.select(
             "license",
             "wanted",
             F.col("window").alias("class"),
-            F.col("t.band").alias("band"),
-            F.col("t.value").alias("value"),
+            F.col("bands").alias("own"),
+            F.posexplode("bands").alias("own_band", "own_value"),
         )
     )
     met = posted.join(
         posts,
         (F.col("window") == F.col("class"))
-        & (F.col("b.band") == F.col("band"))
-        & (F.col("b.value") == F.col("value")),
+        & (F.col("band") == F.col("own_band"))
+        & (F.col("value") == F.col("own_value")),
+    )
+    # A window meets a template once, at the first of the bands in which they agree.
+    agree = F.zip_with("bands", "own", lambda ours, theirs: ours == theirs)
+    verified = (
+        met.where(F.array_position(agree, True) == F.col("band") + 1)
+        .select(
+            "doc_id",
+            "license",
+            "first_word",
+            "n_words",
+            F.size(F.array_intersect("wanted", "shingles")).alias("matched"),
+            F.size("wanted").alias("wanted"),
+        )
+        .where(100 * F.col("matched") >= percent * F.col("wanted"))
     )
-    verified = met.select(
-        "doc_id",
-        "license",
-        "first_word",
-        "n_words",
-        F.size(F.array_intersect("wanted", "shingles")).alias("matched"),
-        F.size("wanted").alias("wanted"),
-    ).where(100 * F.col("matched") >= percent * F.col("wanted"))
     best = F.max(F.struct("matched", -F.col("first_word"), "n_words")).alias("best")
     return (
-        verified.groupBy("doc_id", "license", "first_word", "n_words", "matched", "wanted")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("doc_id", "license", "wanted")
+        verified.groupBy("doc_id", "license", "wanted")
         .agg(best, F.count("*").alias("n_windows"))
         .select(
             "doc_id",

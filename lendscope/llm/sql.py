@@ -65,7 +65,7 @@ def license_notices(documents: str = "documents") -> str:
     from lendscope.llm.licenses import NOTICES, PERCENT, WIDTH, window_words
 
     def words(text: str) -> str:
-        return f"regexp_extract_all(lower({text}), '[a-z0-9\\x{{80}}-\\x{{ffff}}]+')"
+        return f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')"
 
     def shingles(array: str) -> str:
         parts = " || ' ' || ".join(f"{array}[i + {k}]" for k in range(WIDTH))
@@ -94,8 +94,8 @@ WITH given(license, notice) AS (VALUES {rows}
     len(list_intersect(wanted, {shingles("p")})) AS matched
   FROM parts JOIN known USING (size)
 )
-SELECT doc_id, license, CAST(first(first_word ORDER BY matched DESC, first_word) AS INT) AS first_word,
-  CAST(first(n_words ORDER BY matched DESC, first_word) AS INT) AS n_words,
+SELECT doc_id, license, CAST(first(first_word ORDER BY matched DESC, first_word, n_words DESC) AS INT) AS first_word,
+  CAST(first(n_words ORDER BY matched DESC, first_word, n_words DESC) AS INT) AS n_words,
   count(*) AS n_windows, CAST(max(matched) AS INT) AS matched, CAST(wanted AS INT) AS wanted
 FROM matches WHERE 100 * matched >= {PERCENT} * wanted
 GROUP BY doc_id, license, wanted

@@ -62,6 +62,29 @@ def test_odd_rows(spark):
     assert licenses.scan(unnamed).head()["doc_id"] is None
 
 
+def test_rows_under_one_id_count_each(spark):
+    mit, gpl = licenses.NOTICES["MIT"], licenses.NOTICES["GPL-3.0"]
+    rows = [
+        (1, mit), (1, mit), (1, f"{mit} and a word"), (1, gpl), (2, f"{mit} {mit} {gpl}"),
+        (None, mit), (None, mit), (3, f"a b c {gpl}"), (3, f"x y z {gpl} and then much more of it"),
+    ]
+    found = run(spark, rows)
+    assert found == by_sql(rows)
+    windows = {(r[0], r[1]): r[4] for r in found}
+    assert windows[1, "MIT"] == 3 and windows[None, "MIT"] == 2
+
+
+def test_notices_of_one_family_are_told_apart(spark):
+    names = [
+        "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL", "AGPL", "MPL-2.0", "Unlicense",
+        "CC0-1.0", "CC-BY-SA-4.0", "CC-BY-4.0", "MIT-disclaimer", "BSD-disclaimer",
+    ]
+    rows = [(i, f"Some words before. {licenses.NOTICES[n]} Some after.") for i, n in enumerate(names)]
+    found = run(spark, rows)
+    assert sorted((r[0], r[1]) for r in found) == list(enumerate(names))
+    assert found == by_sql(rows)
+
+
 def test_each_shingle_of_a_template_holds_an_anchor():
     chosen = set(licenses.anchors(licenses.NOTICES))
     for notice in licenses.NOTICES.values():
