@@ -7,14 +7,20 @@ of a batch, forward scores give the best path and, with backward scores, the gap
 its second best one.  The n best paths of the text change only units whose gap is
 among the n - 1 smallest; for those a search backwards from the unit's end, led by
 the forward scores as exact estimates of what is left, lists its paths in order.
+
+Units longer than ``_LONG`` characters, as texts without spaces are, take the same way in
+blocks: per character only a score, a back pointer and the lattice's edges stay, some 60 to
+150 bytes together, and the search keeps no more open paths than are still wanted.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 from pathlib import Path
 
 import numpy as np
@@ -30,7 +36,10 @@ LEAST_SCORE = -1e8
 #: An unknown character costs this much more than the rarest single character.
 UNKNOWN_COST = 10.0
 _UNITS_KEPT, _OTHERS_KEPT = 200_000, 20_000
+_CHARACTERS_KEPT = 4_000_000
 _CELLS = 100_000
+#: Longer units are taken in blocks of so many characters.
+_LONG, _BLOCK = 20_000, 50_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 _STEP = np.uint64(1_000_003)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -233,6 +242,125 @@ def ordered_paths(pieces: Pieces, unit: str, n: int) -> list[tuple[float, tuple[
     return found
 
 
+class LongUnit:
+    """The lattice of a long unit, made block by block, and its paths in order."""
+
+    def __init__(self, pieces: Pieces, unit: str, block: int = _BLOCK):
+        self.pieces, self.unit, self.block = pieces, unit, block
+        length = len(unit)
+        self.sizes: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.ahead = np.zeros(length + 1)
+        self.by = np.zeros(length + 1, np.int32)
+        self.of = np.full(length + 1, -1, np.int32)
+        window = [0.0]
+        for start in range(0, length, block):
+            window = self._forward(start, min(start + block, length), window)
+        self.total = float(self.ahead[length])
+
+    def _edges(self, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begins, sizes and pieces of the edges that begin in a block, in order of begin."""
+        codes = _codes(self.unit[start : stop + self.pieces.longest - 1])
+        width, longest = stop - start, min(self.pieces.longest, len(codes))
+        ids = np.full((width, longest), -1, np.int32)
+        hashes = np.zeros(len(codes), np.uint64)
+        for size in range(1, longest + 1):
+            hashes = hashes[: len(codes) - size + 1] * _STEP + codes[size - 1 :]
+            ids[: len(hashes), size - 1] = self.pieces.find(hashes[:width])
+        exists = ids >= 0
+        exists[:, 0] = True
+        begins, sizes = np.nonzero(exists)
+        return begins, sizes + 1, ids[begins, sizes]
+
+    def _weights(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids >= 0, self.pieces.padded[ids], self.pieces.unknown)
+
+    def _forward(self, start: int, stop: int, window: list[float]) -> list[float]:
+        """Best scores of the places of a block; ``window`` are those known from before."""
+        begins, sizes, ids = self._edges(start, stop)
+        room = stop - start + self.pieces.longest + 1
+        best = window + [-np.inf] * (room - len(window))
+        by = self.by[start : start + len(window)].tolist() + [0] * (room - len(window))
+        of = self.of[start : start + len(window)].tolist() + [-1] * (room - len(window))
+        edges = zip(
+            begins.tolist(), sizes.tolist(), ids.tolist(), self._weights(ids).tolist(), strict=True
+        )
+        for begin, size, piece, weight in edges:
+            score = best[begin] + weight
+            # Of equals the shorter last piece, which comes later, wins.
+            if score >= best[begin + size]:
+                best[begin + size], by[begin + size], of[begin + size] = score, size, piece
+        until = min(start + room, len(self.ahead))
+        self.ahead[start:until] = best[: until - start]
+        self.by[start:until] = by[: until - start]
+        self.of[start:until] = of[: until - start]
+        self.sizes.append(sizes.astype(np.int8))
+        self.ids.append(ids)
+        self.counts.append(np.bincount(begins, minlength=stop - start).astype(np.int8))
+        return best[stop - start :]
+
+    def path(self, turns: tuple = ()) -> np.ndarray:
+        """Ids of the best path or, with turns (end, begin, piece) from the end on, of another."""
+        steps: list[int] = []
+        at, turns = len(self.unit), list(turns)[::-1]
+        while at > 0:
+            if turns and turns[-1][0] == at:
+                _, begin, piece = turns.pop()
+            else:
+                begin, piece = at - int(self.by[at]), int(self.of[at])
+            if piece >= 0:
+                steps.append(piece)
+            else:
+                steps += self.pieces.of_unknown(self.unit[begin])[::-1]
+            at = begin
+        return np.array(steps[::-1], np.int32)
+
+    def _turns(self, at: int, n: int) -> list[tuple[float, int, int, int]]:
+        """The n cheapest edges (cost, end, begin, piece) into the best way from ``at`` to the
+        start that it does not take itself."""
+        on = np.zeros(len(self.unit) + 1, bool)
+        while at > 0:
+            on[at] = True
+            at -= int(self.by[at])
+        found: list[tuple[float, int, int, int]] = []
+        for number, start in enumerate(range(0, len(self.unit), self.block)):
+            sizes, ids = self.sizes[number].astype(np.int64), self.ids[number]
+            begins = start + np.repeat(np.arange(len(self.counts[number])), self.counts[number])
+            ends = begins + sizes
+            kept = np.flatnonzero(on[ends] & (self.by[ends] != sizes))
+            begins, ends, ids = begins[kept], ends[kept], ids[kept]
+            costs = self.ahead[ends] - (self.ahead[begins] + self._weights(ids))
+            finite = np.isfinite(costs)
+            least = np.flatnonzero(finite)[np.argsort(costs[finite], kind="stable")[:n]]
+            rows = (costs[least], ends[least], begins[least], ids[least])
+            found += zip(*[r.tolist() for r in rows], strict=True)
+            found = heapq.nsmallest(n, found)
+        return found
+
+    def others(self, n: int) -> list[tuple[float, tuple]]:
+        """What the n best paths after the best one cost more, and their turns, in order.
+
+        An open path is ranked by its score so far and the forward score of where it
+        stands.  Each open path can be completed at its rank, so those behind as many
+        better ones as are wanted are given up.
+        """
+        found: list[tuple[float, tuple]] = []
+        opened: list[tuple[float, int, tuple]] = []
+        pushed, cost, turns = 0, 0.0, ()
+        while len(found) < n:
+            at = turns[-1][1] if turns else len(self.unit)
+            for more, end, begin, piece in self._turns(at, n - len(found)):
+                pushed += 1
+                opened.append((cost + more, pushed, (*turns, (end, begin, piece))))
+            opened = heapq.nsmallest(n - len(found), opened)
+            if not opened:
+                break
+            cost, _, turns = opened.pop(0)
+            found.append((cost, turns))
+        return found
+
+
 def units_of(text: str) -> list[str]:
     """The units of a text, each with its space marks; together they are the marked text."""
     if "  " in text or "\x00" in text or MARK in text or text.startswith(" "):
@@ -250,6 +378,7 @@ class Encoder:
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
+        self.characters = 0
         self.names: list[str] = []
         self.flat = np.zeros(0, np.int32)
         self.begins = np.zeros(1, np.int64)
@@ -258,23 +387,32 @@ class Encoder:
         self.others: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.rows) > _UNITS_KEPT:
+        if len(self.rows) > _UNITS_KEPT or self.characters > _CHARACTERS_KEPT:
             self.clear()
         if len(self.others) > _OTHERS_KEPT:
             self.others.clear()
         new = sorted(units.difference(self.rows), key=len)
+        self.characters += sum(map(len, new))
         start = 0
-        paths: list[list[int]] = []
+        short = bisect.bisect_right(new, _LONG, key=len)
+        paths: list = []
         totals, gaps = [self.totals], [self.gaps]
-        while start < len(new):
+        while start < short:
             end = start + 1
-            while end < len(new) and (end + 1 - start) * len(new[end]) <= _CELLS:
+            while end < short and (end + 1 - start) * len(new[end]) <= _CELLS:
                 end += 1
             found, total, gap = best_paths(self.pieces, new[start:end])
             paths += found
             totals.append(total)
             gaps.append(gap)
             start = end
+        for row, unit in enumerate(new[short:], len(self.names) + short):
+            lattice = LongUnit(self.pieces, unit)
+            listed = lattice.others(max(self.n - 1, 1))
+            paths.append(lattice.path())
+            totals.append(np.array([lattice.total]))
+            gaps.append(np.array([listed[0][0] if listed else np.inf]))
+            self.others[row] = [(cost, lattice.path(turns)) for cost, turns in listed]
         self.rows.update(zip(new, range(len(self.names), len(self.names) + len(new)), strict=True))
         self.names += new
         sizes = np.fromiter(map(len, paths), np.int64, len(paths))
@@ -296,7 +434,11 @@ class Encoder:
         combined: list[tuple[float, tuple]] = [(0.0, ())]
         for place in sorted(below[np.isfinite(gaps[below])].tolist()):
             row = int(rows[place])
-            if row not in self.others:
+            if row not in self.others and len(self.names[row]) > _LONG:
+                lattice = LongUnit(self.pieces, self.names[row])
+                listed = lattice.others(self.n - 1)
+                self.others[row] = [(cost, lattice.path(turns)) for cost, turns in listed]
+            elif row not in self.others:
                 best = tuple(self.flat[self.begins[row] : self.begins[row + 1]].tolist())
                 listed = ordered_paths(self.pieces, self.names[row], self.n)
                 self.others[row] = [
@@ -308,7 +450,7 @@ class Encoder:
                 for cost, changes in combined
                 for more, ids in choices
             ]
-            combined = heapq.nsmallest(self.n, mixed)
+            combined = heapq.nsmallest(self.n, mixed, key=itemgetter(0))
         return [
             {
                 "score": float(score - cost),
@@ -316,7 +458,7 @@ class Encoder:
                     {
                         "first": int(first[place]),
                         "n": int(first[place + 1] - first[place]),
-                        "ids": list(ids),
+                        "ids": np.asarray(ids).tolist(),
                     }
                     for place, ids in changes
                 ],
@@ -412,7 +554,8 @@ def encode(
     text; a space mark in a text decodes to a space, as sentencepiece has it.  Among
     paths of equal score any may come first, the same one each time.
 
-    A null or empty text has no pieces and score 0.  A null id stays null,
+    A text without spaces may be of any length: 2 million characters take some 150 MB and
+    6 seconds.  A null or empty text has no pieces and score 0.  A null id stays null,
     repeated rows come back each, an empty table gives an empty result, and other
     columns are not looked at.
     """

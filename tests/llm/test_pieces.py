@@ -4,12 +4,25 @@ from __future__ import annotations
 
 import functools
 import random
+import subprocess
+import sys
 from pathlib import Path
 
 import public_tokenizers
 import pytest
 
-from lendscope.llm.pieces import MARK, Encoder, decode, encode, ordered_paths, units_of
+from lendscope.llm import pieces as pieces_module
+from lendscope.llm.pieces import (
+    MARK,
+    Encoder,
+    LongUnit,
+    best_paths,
+    decode,
+    decoded,
+    encode,
+    ordered_paths,
+    units_of,
+)
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PARTS = ["a", "the", " ", "  ", "\n", "é", "日本", "ing", "😀", "\x00", ".", MARK, "ß", "12", "\t"]
@@ -99,3 +112,58 @@ def test_table_and_round_trip(spark):
     assert encode(docs.limit(0), MODEL).count() == 0
     sizes = {r["doc_id"]: r["n_pieces"] for r in made.where("doc_id > 1 and doc_id < 3").collect()}
     assert sizes == {2: 0}
+
+
+def test_long_units_by_blocks_equal_whole_ones(encoder):
+    drawn = random.Random(8)
+    letters = ["a", "e", "the", "ing", "é", "日", "x", "q", "1", "😀", "aaaa", "tion"]
+    for _ in range(60):
+        unit = "".join(drawn.choices(letters, k=drawn.randint(1, 60)))
+        (best,), (total,), (gap,) = best_paths(encoder.pieces, [unit])
+        listed = ordered_paths(encoder.pieces, unit, 5)
+        for block in (1, 7, 1000):
+            long = LongUnit(encoder.pieces, unit, block)
+            others = long.others(4)
+            assert long.path().tolist() == best and long.total == total
+            assert len(others) == len(listed) - 1
+            scores = [total] + [total - cost for cost, _ in others]
+            assert scores == pytest.approx([score for score, _ in listed])
+            if others:
+                assert others[0][0] == pytest.approx(gap)
+            else:
+                assert gap == float("inf")
+            spelled = {tuple(long.path(turns).tolist()) for _, turns in others}
+            assert len(spelled) == len(others) and tuple(best) not in spelled
+            for ids in spelled:
+                assert decoded(encoder.pieces, list(ids)) == unit.removeprefix(" ")
+
+
+def test_long_units_in_a_text(content, monkeypatch):
+    rows = ["ab" * 40 + " the end", "the" * 50, "x y z " + "日本" * 30 + "\nab"]
+    whole = [(a.tolist(), s, [o["score"] for o in c]) for a, s, c in Encoder(content, 4).encode(rows)]
+    monkeypatch.setattr(pieces_module, "_LONG", 50)
+    cut = [(a.tolist(), s, [o["score"] for o in c]) for a, s, c in Encoder(content, 4).encode(rows)]
+    for (ids, score, others), (own, own_score, own_others) in zip(whole, cut, strict=True):
+        assert own == ids and own_score == pytest.approx(score)
+        assert own_others == pytest.approx(others)
+
+
+def test_two_million_characters_without_a_space():
+    """In a process of its own, whose memory can be measured."""
+    program = """
+import random, resource, sys
+from lendscope.llm.pieces import Encoder, decoded
+encoder = Encoder(open(sys.argv[1], "rb").read(), 3)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = "".join(random.Random(3).choices("etaoinshrdlucmfw", k=2_000_000))
+((ids, score, others),) = encoder.encode([text])
+grown = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before
+assert len(others) == 2 and score >= others[0]["score"] >= others[1]["score"]
+print(grown // 1024)
+assert decoded(encoder.pieces, ids.tolist()) == text
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", program, MODEL], capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 500
