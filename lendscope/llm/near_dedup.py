@@ -36,6 +36,8 @@ SLACK = 4.75
 #: Lists of more members have a pivot.
 SHORT = 8
 PIVOT_ROUNDS = 2
+#: A list of more members is dealt to several tasks, about so many to each.
+SPLIT = 500
 _BITS = (1 << 22) + 15
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _LONE = np.uint64(0xD6E8FEB86659FD93)
@@ -268,12 +270,17 @@ def _linked_labels(texts, nodes, width: int, percent: int, coordinates: int, lis
         labels = merge(labels, links)
         # A pivot has met all others of its list, a short list is done.
         lists = beside.where("node <> pivot.node").select("node", "company", "post")
-    lists = stored(_open(lists, labels), "near-open").select("post", "node", "label", "major")
+    lists = stored(_open(lists, labels), "near-open").select(
+        "post", "node", "label", "major", F.ceil(F.col("members") / SPLIT).alias("parts")
+    )
     open_nodes = stored(lists.select(F.col("node").alias("doc_id")).distinct(), "near-open")
     sets = _sets_of(texts, open_nodes, width, short=True)
     members = lists.join(sets.join(prefixes.select("node", "prefix"), "node"), "node")
+    # A long list is dealt in parts; each part meets all who are not in the largest component.
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
     minor = members.where("label <> major").select(
-        *[F.col(c).alias(f"m_{c}") for c in ("post", "node", "label", "prefix", "n", "shingles")]
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("m_part"),
+        *[F.col(c).alias(f"m_{c}") for c in ("post", "node", "label", "prefix", "n", "shingles")],
     )
     # Whatever is not in the list's largest component meets all of other components, in
     # the first list both are in.  Halves of hashes that fall together in a set could hide
@@ -285,9 +292,10 @@ def _linked_labels(texts, nodes, width: int, percent: int, coordinates: int, lis
         + F.col("m_n")
         - F.size("m_shingles")
     )
-    met = members.join(
+    met = dealt.join(
         minor,
         (F.col("post") == F.col("m_post"))
+        & (F.col("part") == F.col("m_part"))
         & F.expr("label <> m_label and (label = major or node < m_node)")
         & F.expr(f"100 * n >= {percent} * m_n and 100 * m_n >= {percent} * n")
         & (F.expr("array_intersect(prefix, m_prefix)[0]") == F.col("post"))

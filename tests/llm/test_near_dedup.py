@@ -123,3 +123,13 @@ def test_agreements_follow_similarity():
         agreed.append((a == b).sum())
     assert abs(np.mean(agreed) / near_dedup.COORDINATES - 0.8) < 0.02
     assert min(agreed) >= least_matches(near_dedup.COORDINATES, 80)
+
+
+@pytest.mark.parametrize("split", [3, 500])
+def test_lists_dealt_in_parts(spark, monkeypatch, split):
+    """A templated group just below and above the threshold, in lists of many parts."""
+    monkeypatch.setattr(near_dedup, "SPLIT", split)
+    drawn = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(drawn, base, drawn.choice([0.02, 0.05, 0.08])))) for i in range(150)]
+    assert run(spark, rows) == brute(rows, 2)
