@@ -361,6 +361,30 @@ def _row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _contiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key figures of the table as loaded at once and as loaded file by file."""
+    source = _clean_path(spark.sparkContext.applicationId, spark, sf_dir)
+    target, notes = scratch_path(spark, "chunked"), scratch_path(spark, "notes")
+    load_in_chunks(
+        spark, source, cleaned(spark, sf_dir).schema, target, notes, files_per_chunk=1
+    )
+    tables = {"batch": loaded(spark, sf_dir), "chunks": sinks.read_table_files(spark, target)}
+    figures = [
+        sinks.with_contiguous_keys(table)
+        .groupBy(ROW_KEY)
+        .count()
+        .agg(
+            F.lit(name).alias("load"),
+            F.sum("count").alias("row_count"),
+            F.count(F.lit(1)).alias("distinct_keys"),
+            F.min(ROW_KEY).alias("first_key"),
+            F.max(ROW_KEY).alias("last_key"),
+        )
+        for name, table in tables.items()
+    ]
+    return figures[0].unionByName(figures[1])
+
+
 def _over_views(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.create_views(loans.derive(spark, sf_dir))
@@ -623,6 +647,13 @@ def queries() -> dict[str, Query]:
                 "FROM loans"
             ),
         ),
+        "a14_contiguous_keys": (
+            _contiguous_keys,
+            f"WITH loans AS ({loans.SQL}), cleaned AS ({raw_files.EXPECTED}) "
+            "SELECT 'batch' AS load, COUNT(*) AS row_count, COUNT(*) AS distinct_keys, "
+            "CAST(1 AS BIGINT) AS first_key, COUNT(*) AS last_key FROM loans UNION ALL "
+            "SELECT 'chunks', COUNT(*), COUNT(*), 1, COUNT(*) FROM cleaned",
+        ),
         "a15_load_report": (
             _report,
             over_loans(

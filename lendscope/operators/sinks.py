@@ -23,6 +23,11 @@ from lendscope.sources.discover import list_files
 YEAR, STATE, INDUSTRY = "approval_fiscal_year", "borrower_state", "naics_code"
 TABLE_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType()), *LOAN_SCHEMA.fields])
 
+#: Bits of a stored row key that count within the task that wrote the row.
+KEY_BITS = 33
+#: Runs of keys, of two numbers each, that are broadcast.
+MOST_RUNS = 500_000
+
 _CSV = {
     "header": True,
     "quote": '"',
@@ -140,11 +145,47 @@ def arrange(loans: DataFrame) -> DataFrame:
 
 
 def with_row_key(loans: DataFrame) -> DataFrame:
-    """A unique row key from 1 up.  Keys have gaps; no shuffle is needed."""
+    """A unique row key from 1 up.  Keys have gaps, which ``with_contiguous_keys`` closes
+    when they are read; no shuffle is needed."""
     key = (F.monotonically_increasing_id() + 1).alias(ROW_KEY)
     return loans.select(key, "*")
 
 
+def with_contiguous_keys(table: DataFrame) -> DataFrame:
+    """A14 without gaps: keys 1 to n in place of the stored ones, in their order.
+
+    ``table`` is a whole loaded table, of one or more loads; filter what comes out.  Stored
+    keys run on within each task that wrote, so counts per task and running totals of them
+    say where each run begins; they are made per block of tasks and moved up by the blocks
+    before.  Only keys are read for that, twice, and no row is shuffled up to ``MOST_RUNS``
+    writing tasks, whose run begins are broadcast; beyond, rows meet them by a shuffle.
+    """
+    stored = F.col(ROW_KEY) - 1
+    run = F.shiftright(stored, KEY_BITS)
+    runs = table.groupBy(run.alias("run")).agg(F.count(F.lit(1)).alias("n"))
+    runs = runs.withColumn("block", F.shiftright("run", 12))
+    blocks = runs.groupBy("block").agg(F.sum("n").alias("block_rows"))
+    moved = blocks.select(
+        F.col("block"),
+        (F.sum("block_rows").over(Window.orderBy("block")) - F.col("block_rows")).alias("earlier"),
+    )
+    within = F.sum("n").over(Window.partitionBy("block").orderBy("run")) - F.col("n")
+    begins = (
+        runs.withColumn("within", within)
+        .join(moved, "block")
+        .select("run", (F.col("earlier") + F.col("within")).alias("before"))
+    )
+    if runs.count() <= MOST_RUNS:
+        begins = F.broadcast(begins)
+    position = stored.bitwiseAND((1 << KEY_BITS) - 1)
+    return (
+        table.withColumn("run", run)
+        .join(begins, "run")
+        .withColumn(ROW_KEY, F.col("before") + position + 1)
+        .select(*table.columns)
+    )
+
+
 def table_rows(cleaned: DataFrame) -> DataFrame:
     """Cleaned rows as the loans table stores them."""
     return with_row_key(arrange(conform(cleaned)))

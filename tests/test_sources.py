@@ -184,6 +184,30 @@ def test_chunked_load_goes_on_where_it_stopped(spark, folder, tmp_path):
     with pytest.raises(ValueError):
         load_in_chunks(spark, source, cleaned.schema, target, notes)
 
+    def contiguous():
+        keyed = sinks.with_contiguous_keys(sinks.read_table_files(spark, target))
+        assert keyed.columns == sinks.TABLE_SCHEMA.names
+        return sorted(r[0] for r in keyed.select("loan_row_id").collect())
+
+    assert contiguous() == list(range(1, 12))
+    # The last chunk is begun anew when its end was not noted.
+    last = max((p for p in (tmp_path / "notes" / "commits").glob("[0-9]*")), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    load_in_chunks(spark, source, cleaned.schema, target, notes, files_per_chunk=1)
+    assert contiguous() == list(range(1, 12))
+
+
+def test_contiguous_keys_keep_order_and_take_a_shuffle_beyond_the_bound(spark, monkeypatch):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id AS borrower_state")
+    table = sinks.with_row_key(rows).persist()
+    for bound in (500_000, 0):
+        monkeypatch.setattr(sinks, "MOST_RUNS", bound)
+        keyed = sinks.with_contiguous_keys(table).orderBy("loan_row_id").collect()
+        assert [(r[0], r[1]) for r in keyed] == [(i + 1, i) for i in range(5000)]
+    assert sinks.with_contiguous_keys(table.limit(0)).count() == 0
+    table.unpersist()
+
 
 def test_tokens_are_null_and_others_are_not(spark, tmp_path):
     cells = [*NA_TOKENS, " ", "NULLS", "none"]
