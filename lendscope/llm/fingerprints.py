@@ -29,6 +29,7 @@ from lendscope.llm.common import ready, stored
 WINDOW = 16
 #: A feature is the rarest of so many windows that follow each other, somewhere in the text.
 NEIGHBOURS = 8
+#: The bits of a filter are a power of two.
 FILTER_BITS, FEATURE_BITS, FILTER_FEATURES = 2048, 4, 256
 LEVELS = 1024
 #: Windows of less entropy, as a share of the most, come behind all others.
@@ -91,7 +92,9 @@ def _features(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     while span < NEIGHBOURS:
         least[:-span] = np.minimum(least[:-span], least[span:])
         span *= 2
-    places = np.unique(least[: len(laid)][some] & ((1 << 31) - 1))
+    rarest = np.zeros(len(laid), bool)
+    rarest[least[: len(laid)][some] & ((1 << 31) - 1)] = True
+    places = np.flatnonzero(rarest)
     data = laid.astype(np.uint8)
     chosen = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[places]
     hashed = _hash_rows(np.ascontiguousarray(chosen))
@@ -115,10 +118,11 @@ def _hash_rows(rows: np.ndarray) -> np.ndarray:
 def _filters(features: np.ndarray) -> np.ndarray:
     """The chain of Bloom filters, (filter, bit)."""
     chain = np.zeros((-(-len(features) // FILTER_FEATURES), FILTER_BITS), bool)
-    line = np.arange(len(features)) // FILTER_FEATURES
+    begins = np.arange(len(features)) // FILTER_FEATURES * FILTER_BITS
+    bits = chain.reshape(-1)
     for k in range(FEATURE_BITS):
-        bits = (features >> np.uint64(11 * k)) % np.uint64(FILTER_BITS)
-        chain[line, bits.astype(np.int64)] = True
+        bit = (features >> np.uint64(11 * k)) & np.uint64(FILTER_BITS - 1)
+        bits[begins + bit.astype(np.int64)] = True
     return chain
 
 
