@@ -21,7 +21,17 @@ from checks.measure_queries import (
 from checks.results import plain
 from lendscope.functions import cells
 from lendscope.model import DATE_COLUMNS, LOAN_COLUMNS, LOAN_TYPES, ROW_KEY
-from lendscope.operators import adhoc, cleaning, conform, measures, naming, profiling, sinks, views
+from lendscope.operators import (
+    adhoc,
+    cleaning,
+    conform,
+    layout,
+    measures,
+    naming,
+    profiling,
+    sinks,
+    views,
+)
 from lendscope.operators.filters import LoanFilter
 from lendscope.plans import jobs
 from lendscope.session import scratch_path
@@ -566,6 +576,47 @@ def _sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Small pages let a small table show what is skipped.  The year and state layout skips nothing
+# under a status filter; the shares are of all rows, a third of which have such a status.
+_SMALL_PAGES = {
+    "parquet.block.size": "65536",
+    "parquet.page.size.row.check.min": "50",
+    "parquet.page.row.count.limit": "50",
+}
+_ON_CURVE = {
+    "status": ("loan_status = 'P I F'", 0.6),
+    "industry": ("naics_code = '110000'", 0.35),
+    "state": ("borrower_state = 'NATION_3'", 0.6),
+    "state and status": ("borrower_state = 'NATION_3' AND loan_status = 'CHGOFF'", 0.35),
+}
+
+
+def _along_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "loans-on-curve")
+    options = _SMALL_PAGES | layout.FILE_OPTIONS
+    sinks.write_table_files(loans.derive(spark, sf_dir), path, layout.along_curve, **options)
+    table = sinks.read_table_files(spark, path)
+    every = table.count()
+    found = []
+    for name, (condition, share) in _ON_CURVE.items():
+        counted = table.where(condition).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("loan_amount").cast("double").alias("amount")
+        )
+        row = counted.collect()[0]
+        found.append((name, row["n"], row["amount"], layout.rows_read(counted) < share * every))
+    return spark.createDataFrame(
+        found, "chosen string, total_loans long, amount double, most_rows_skipped boolean"
+    )
+
+
+def _curve_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS chosen, COUNT(*) AS total_loans, CAST(SUM(loan_amount) AS DOUBLE) "
+        f"AS amount, TRUE AS most_rows_skipped FROM loans WHERE {condition}"
+        for name, (condition, _) in _ON_CURVE.items()
+    )
+
+
 def queries() -> dict[str, Query]:
     """All of them, by name."""
     cleaned_sql = _EXPECTED + f"SELECT {_CLEANED_SQL} FROM cleaned"
@@ -640,6 +691,7 @@ def queries() -> dict[str, Query]:
             ),
             over_loans(in_1998),
         ),
+        "a13_filters_on_curve": (_along_curve, over_loans(_curve_sql())),
         "a14_row_key": (
             _row_keys,
             over_loans(

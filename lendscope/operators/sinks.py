@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -134,6 +134,9 @@ def read_clean(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
     return csv_files.union_by_name(frames)
 
 
+Arrangement = Callable[[DataFrame], DataFrame]
+
+
 def arrange(loans: DataFrame) -> DataFrame:
     """Rows laid out for the filters on year, state and industry.
 
@@ -186,9 +189,9 @@ def with_contiguous_keys(table: DataFrame) -> DataFrame:
     )
 
 
-def table_rows(cleaned: DataFrame) -> DataFrame:
+def table_rows(cleaned: DataFrame, arranged: Arrangement = arrange) -> DataFrame:
     """Cleaned rows as the loans table stores them."""
-    return with_row_key(arrange(conform(cleaned)))
+    return with_row_key(arranged(conform(cleaned)))
 
 
 def create_table(spark: SparkSession, name: str) -> None:
@@ -197,17 +200,22 @@ def create_table(spark: SparkSession, name: str) -> None:
     empty.write.mode("overwrite").partitionBy(YEAR).saveAsTable(name)
 
 
-def write_table(cleaned: DataFrame, name: str) -> None:
+def write_table(
+    cleaned: DataFrame, name: str, arranged: Arrangement = arrange, **options: str
+) -> None:
     """Fill the catalog table in one distributed write, replacing its rows."""
-    table_rows(cleaned).write.mode("overwrite").partitionBy(YEAR).saveAsTable(name)
+    table_rows(cleaned, arranged).write.options(**options).mode("overwrite").partitionBy(YEAR).saveAsTable(name)
 
 
-def write_table_files(cleaned: DataFrame, path: str) -> None:
+def write_table_files(
+    cleaned: DataFrame, path: str, arranged: Arrangement = arrange, **options: str
+) -> None:
     """A12 without a catalog: the table as Parquet files under a new path.
 
-    Files appear when the job commits, so a reader never sees half a table.
+    Files appear when the job commits, so a reader never sees half a table.  ``arranged``
+    lays the rows out: by year, state and industry, or ``layout.along_curve``.
     """
-    table_rows(cleaned).write.partitionBy(YEAR).parquet(path)
+    table_rows(cleaned, arranged).write.options(**options).partitionBy(YEAR).parquet(path)
 
 
 def write_database(

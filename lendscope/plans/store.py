@@ -15,16 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lendscope.operators import kept_totals
-from lendscope.operators.sinks import TABLE_SCHEMA, YEAR, table_rows
+from lendscope.operators.sinks import TABLE_SCHEMA, YEAR, Arrangement, arrange, table_rows
 
 _MANIFEST, _LOAD = "MANIFEST", "load"
 
 
 class LoanStore:
-    """The loans under a path that all executors reach."""
+    """The loans under a path that all executors reach.
 
-    def __init__(self, spark: SparkSession, path: str):
+    Each load's rows are laid out by ``arranged`` and written with ``options``.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, arranged: Arrangement = arrange, **options: str
+    ):
         self.spark, self.path = spark, path.rstrip("/")
+        self._arranged, self._options = arranged, options
         jvm = spark.sparkContext._jvm
         self._jvm = jvm
         self._root = jvm.org.apache.hadoop.fs.Path(self.path)
@@ -65,7 +71,8 @@ class LoanStore:
     def _write(self, cleaned: DataFrame) -> str:
         name = uuid.uuid4().hex
         loans = f"{self.path}/loans/{_LOAD}={name}"
-        table_rows(cleaned).write.partitionBy(YEAR).parquet(loans)
+        rows = table_rows(cleaned, self._arranged)
+        rows.write.options(**self._options).partitionBy(YEAR).parquet(loans)
         written = self.spark.read.schema(TABLE_SCHEMA).parquet(loans)
         kept_totals.write_totals(written, f"{self.path}/totals/{_LOAD}={name}")
         return name
