@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 
 from lendscope.model import LOAN_COLUMNS, NA_TOKENS
@@ -12,7 +15,7 @@ from lendscope.operators import cleaning, conform, profiling, sinks
 from lendscope.operators.naming import HeaderCollision
 from lendscope.plans import jobs
 from lendscope.session import scratch_path, sized_shuffles
-from lendscope.sources import csv_files
+from lendscope.sources import csv_files, spanning
 from lendscope.sources.discover import discover, require
 from lendscope.streaming.chunked_load import load_in_chunks
 
@@ -473,3 +476,52 @@ def test_a_cr_is_read_alike_beside_rows_that_span_lines(spark, tmp_path):
         raw = csv_files.read_raw(spark, discover(spark, [str(tmp_path / name / "*.csv")]))
         rows[name] = sorted(tuple(r)[:2] for r in raw.where("rank < 3").collect())
     assert rows["cut"] == rows["joined"] == [("x\ry", "1"), ("x\ry", "2")]
+
+
+def test_rows_that_span_lines_are_read_and_parsed_once(spark, folder):
+    (layout,) = [
+        found
+        for found in csv_files.layouts(spark, discover(spark, [str(folder)]))
+        if found.way == csv_files.JOINED
+    ]
+    rows = csv_files.scan(spark, layout, [f"c{i}" for i in range(len(layout.headers))])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("MapIn(?:Pandas|Arrow)", plan)) == 1
+    assert plan.count("from_csv(") == 1
+
+
+def test_lines_of_pieces_are_found_for_both_ways_to_begin():
+    draw = random.Random(5)
+    for _ in range(300):
+        lines = [(draw.random() < 0.4, draw.random() < 0.5, draw.random() < 0.2) for _ in range(12)]
+        cuts = sorted({0, 12, *(draw.randrange(13) for _ in range(3))})
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [
+                    pa.array(["a.csv"] * (b - a)),
+                    # two pieces of six lines each
+                    pa.array([0 if i < 6 else 100 for i in range(a, b)], pa.int64()),
+                    pa.array(range(a, b), pa.int64()),
+                    *(pa.array([line[k] for line in lines[a:b]], pa.bool_()) for k in range(3)),
+                ],
+                names=["path", "block", "row", "opens", "stays", "blank"],
+            )
+            for a, b in zip(cuts, cuts[1:])
+        ]
+        found = [row for batch in spanning._piece_states(batches) for row in batch.to_pylist()]
+        for piece, begin in zip(found, (0, 6), strict=True):
+            for name, inside in (("outside", False), ("inside", True)):
+                state, begun, head = inside, None, spanning._NEVER
+                for i in range(begin, begin + 6):
+                    if not state:
+                        begun = i
+                    opens, stays, _ = lines[i]
+                    state = stays if state else opens
+                    if not state and head == spanning._NEVER:
+                        head = i
+                assert piece[f"from_{name}"] == state
+                assert piece[f"tail_{name}"] == (begun if state else None)
+                if inside:
+                    assert piece["head"] == head
+        texts = [i for i in range(6) if not lines[i][2]]
+        assert [p["header"] for p in found] == [texts[0] if texts else None, None]
