@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lendscope.model import LOAN_COLUMNS, NA_TOKENS
 from lendscope.operators import cleaning, conform, profiling, sinks
@@ -525,3 +526,29 @@ def test_lines_of_pieces_are_found_for_both_ways_to_begin():
                     assert piece["head"] == head
         texts = [i for i in range(6) if not lines[i][2]]
         assert [p["header"] for p in found] == [texts[0] if texts else None, None]
+
+
+def test_a_clean_file_can_be_read_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 3_000_000, 1, 1).select(F.md5(F.col("id").cast("string")).alias("text"))
+    path = sinks.save_clean(rows, str(tmp_path / "clean"))
+    read = spark.read.parquet(path)
+    assert len(read.inputFiles()) == 1
+    assert read.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+
+
+def test_a_preview_reads_its_file_once(spark, folder):
+    for layout in csv_files.layouts(spark, discover(spark, [str(folder)])):
+        names = [f"c{i}" for i in range(len(layout.headers))]
+        raw = csv_files.scan(spark, layout, names, position=True)
+        plan = sinks.first_rows(raw, 2)._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan
+        assert "LeftSemi" not in plan
+        rows = sinks.first_rows(raw, 2).collect()
+        everything = raw.collect()
+        for file in {r["source_path"] for r in everything}:
+            in_order = sorted(
+                (r for r in everything if r["source_path"] == file),
+                key=lambda r: (r["block_start"], r["row_order"]),
+            )
+            found = sorted((r for r in rows if r["source_path"] == file), key=lambda r: r["place"])
+            assert [r["c2"] for r in found] == [r["c2"] for r in in_order[:2]]
