@@ -20,6 +20,7 @@ from lendscope.functions.ratios import or_zero, per_million, safe_ratio
 from lendscope.functions.sectors import sector_of
 from lendscope.operators import filters, ranking
 from lendscope.operators.filters import NO_FILTER, LoanFilter
+from lendscope.session import scratch_path
 
 STATE, INDUSTRY, STATUS, SECTOR, LENDER, PROGRAM = (
     "borrower_state", "naics_code", "loan_status", "sector", "lender_name", "program",
@@ -108,8 +109,9 @@ class Facets:
 
     The pass is a single GROUPING SETS aggregate.  Its result has one row per
     state, industry and description, status, lender and program; sectors are added
-    up from industries, and the whole from programs.  It is kept with ``persist``,
-    and can be rebuilt when an executor is lost.
+    up from industries, and the whole from programs.  It is stored in the shared folder
+    and kept with ``persist``: Spark finds a kept aggregate only once in a plan that holds
+    it several times, as one over several panels does, and a kept file every time.
     """
 
     _SETS = {
@@ -122,11 +124,12 @@ class Facets:
     _KEYS = (STATE, INDUSTRY, "naics_description", STATUS, LENDER, PROGRAM)
 
     def __init__(self, loans: DataFrame):
-        self.table = (
-            loans.groupingSets(list(self._SETS.values()), *self._KEYS)
-            .agg(F.grouping_id().alias("grouping"), *loan_measures(loans))
-            .persist()
+        totals = loans.groupingSets(list(self._SETS.values()), *self._KEYS).agg(
+            F.grouping_id().alias("grouping"), *loan_measures(loans)
         )
+        stored = scratch_path(loans.sparkSession, "facets")
+        totals.write.parquet(stored)
+        self.table = loans.sparkSession.read.schema(totals.schema).parquet(stored).persist()
 
     def rows(self, key: str) -> DataFrame:
         """The rows of one grouping set."""
@@ -150,7 +153,7 @@ class Facets:
         return _finished(rows, key)
 
     def release(self) -> None:
-        """Give the memory back."""
+        """Give the memory back; answers are then read from the stored totals."""
         self.table.unpersist()
 
 

@@ -12,6 +12,7 @@ from checks import file_queries, loans, raw_files
 from lendscope.model import LOAN_SCHEMA
 from lendscope.operators import kept_totals
 from lendscope.operators.sinks import TABLE_SCHEMA
+from lendscope.plans.dashboard import dashboard, panel_lines
 
 
 def test_both_programs_are_written_from_loans_derived_once(spark, sf_dir, monkeypatch):
@@ -75,3 +76,14 @@ def test_files_of_a_header_alone_do_not_fail_the_joined_scan(spark, sf_dir):
             spark.conf.set(name, value)
     lines = loans.table(spark, sf_dir, "lineitem")
     assert found["row_count"] == lines.count() + lines.where("l_linenumber = 1").count()
+
+
+def test_all_panels_together_read_the_kept_totals(spark, sf_dir):
+    page = dashboard(loans.derive(spark, sf_dir))
+    for together in (panel_lines(page), page.findings):
+        plan = together._jdf.queryExecution().withCachedData().toString()
+        # Before, all panels of a union but one added the loans up again.
+        assert "InMemoryRelation" in plan and "lineitem" not in plan and "Expand" not in plan
+    assert not panel_lines(page).isEmpty()
+    page.release()
+    assert not panel_lines(page).isEmpty()
