@@ -86,6 +86,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Tables that are looked up from orders; whoever needs customers needs all of them.
+_OF_ORDERS = ("orders", "customer", "nation")
+
+
+def _broadcasts(df: DataFrame) -> bool:
+    """Whether Spark, by its estimate of the size, broadcasts a table when it is joined."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(size)) <= limit
+
+
 def _expression(name: str) -> Column:
     return F.expr(MAPPING[name][1]).alias(name)
 
@@ -94,7 +105,8 @@ def derive(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The loans table with the named columns, or all.
 
     Join strategies are left to Spark, which broadcasts a table only when its
-    size is known to be small and splits skewed keys at run time.
+    size is known to be small and splits skewed keys at run time.  Customers too many for
+    that meet their orders first: else a second shuffle of all rows would look them up.
     """
     wanted: Sequence[str] = columns or COLUMNS
     needed: set[str] = set()
@@ -103,8 +115,19 @@ def derive(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         while step:
             needed.add(step)
             step = _KEYS[step][1]
-    rows = table(spark, sf_dir, "lineitem")
+    rows, orders = table(spark, sf_dir, "lineitem"), None
     for name, (key, _, reference) in _KEYS.items():
-        if name in needed:
-            rows = rows.join(table(spark, sf_dir, name), F.col(reference) == F.col(key), "left")
+        if name not in needed:
+            continue
+        other = table(spark, sf_dir, name)
+        if name == "orders" and "customer" in needed:
+            customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+            orders = None if _broadcasts(customers) else other
+        if orders is not None and name in _OF_ORDERS:
+            if name != "orders":
+                orders = orders.join(other, F.col(reference) == F.col(key), "left")
+            if name == _OF_ORDERS[-1]:
+                rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            continue
+        rows = rows.join(other, F.col(reference) == F.col(key), "left")
     return rows.select(*[_expression(c) for c in wanted])

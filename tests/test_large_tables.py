@@ -5,14 +5,16 @@ from __future__ import annotations
 import datetime
 import decimal
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from checks import file_queries, loans, raw_files
 from lendscope.model import LOAN_SCHEMA
-from lendscope.operators import kept_totals
+from lendscope.operators import kept_totals, layout
 from lendscope.operators.sinks import TABLE_SCHEMA
 from lendscope.plans.dashboard import dashboard, panel_lines
+from lendscope.sources import csv_files
 
 
 def test_both_programs_are_written_from_loans_derived_once(spark, sf_dir, monkeypatch):
@@ -87,3 +89,43 @@ def test_all_panels_together_read_the_kept_totals(spark, sf_dir):
     assert not panel_lines(page).isEmpty()
     page.release()
     assert not panel_lines(page).isEmpty()
+
+
+def test_many_customers_meet_their_orders_first(spark, sf_dir):
+    columns = ("loan_id", "program", "borrower_state", "lender_name", "naics_description")
+    few = loans.derive(spark, sf_dir, *columns)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1")
+    try:
+        many = loans.derive(spark, sf_dir, *columns)
+        plan = many._jdf.queryExecution().optimizedPlan().toString()
+        assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+    finally:
+        spark.conf.set(setting, before)
+    # The upper join comes first in a plan: no loan is looked up by its customer.
+    joins = re.findall(r"Join LeftOuter, \((\w+)#", plan)
+    assert joins.index("l_orderkey") < joins.index("o_custkey")
+
+
+def test_the_cut_scan_looks_for_layouts_once(spark, sf_dir, monkeypatch):
+    asked, layouts = [], csv_files.layouts
+    monkeypatch.setattr(csv_files, "layouts", lambda *given: asked.append(1) or layouts(*given))
+    run, _ = file_queries.queries()["a4_text_scan_cut"]
+    lines = loans.table(spark, sf_dir, "lineitem")
+    assert run(spark, sf_dir).head()["row_count"] == (
+        lines.count() + lines.where("l_linenumber = 1").count()
+    )
+    assert len(asked) == 1
+
+
+def test_bounds_of_the_curve_come_from_one_reading(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    codes = spark.range(500).select(F.udf(seen)(F.col("id").cast("string")).alias("code"))
+    assert len(layout.class_bounds(codes, ("code",))["code"].bounds) == 63
+    assert read.value == 500
