@@ -89,11 +89,12 @@ class Pieces:
         self.unknown = min(single, default=0.0) - UNKNOWN_COST
         # With one score more, for no piece.
         self.padded = np.append(self.scores, -np.inf)
-        self._tables: list[tuple[np.ndarray, np.ndarray]] = []
+        self._tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self._hash()
 
     def _hash(self) -> None:
-        """Tables from slots to pieces; a piece whose slot is taken goes to the next one."""
+        """Tables from slots to pieces; a piece whose slot is taken goes to the next one, and
+        the slot is marked."""
         left = []
         for piece, i in self.known.items():
             value = np.uint64(0)
@@ -104,14 +105,16 @@ class Pieces:
         while left:
             hashes = np.zeros(1 << _SLOTS, np.uint64)
             ids = np.full(1 << _SLOTS, -1, np.int32)
+            taken = np.zeros(1 << _SLOTS, bool)
             after = []
             slots = self._slots(np.array([h for h, _ in left], np.uint64), len(self._tables))
             for (value, i), slot in zip(left, slots, strict=True):
                 if ids[slot] >= 0:
+                    taken[slot] = True
                     after.append((value, i))
                 else:
                     hashes[slot], ids[slot] = value, i
-            self._tables.append((hashes, ids))
+            self._tables.append((hashes, ids, taken))
             left = after
 
     @staticmethod
@@ -119,12 +122,16 @@ class Pieces:
         return (((hashes + np.uint64(table)) * _MIX) >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Piece of each hash, or -1."""
-        found = np.full(hashes.shape, -1, np.int32)
-        for number, (known, ids) in enumerate(self._tables):
-            slots = self._slots(hashes, number)
-            found = np.where((known[slots] == hashes) & (ids[slots] >= 0), ids[slots], found)
-        return found
+        """Piece of each hash, or -1; only hashes whose slot is marked look into the next table."""
+        found = np.full(hashes.size, -1, np.int32)
+        left, values = None, hashes.ravel()
+        for number, (known, ids, taken) in enumerate(self._tables):
+            slots = self._slots(values, number)
+            hits = np.flatnonzero(known[slots] == values)
+            found[hits if left is None else left[hits]] = ids[slots[hits]]
+            more = np.flatnonzero(taken[slots])
+            left, values = more if left is None else left[more], values[more]
+        return found.reshape(hashes.shape)
 
     def of_unknown(self, character: str) -> list[int]:
         """An unknown character as byte pieces."""

@@ -8,6 +8,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -38,6 +39,32 @@ def encoder(content):
     return Encoder(content, 4)
 
 
+def test_few_hashes_look_into_further_tables(content, monkeypatch):
+    pieces = pieces_module.Pieces(content)
+    looked = []
+    slots = pieces_module.Pieces._slots
+    monkeypatch.setattr(
+        pieces_module.Pieces,
+        "_slots",
+        staticmethod(lambda hashes, table: looked.append(hashes.size) or slots(hashes, table)),
+    )
+    known = []
+    for piece in pieces.known:
+        value = np.uint64(0)
+        with np.errstate(over="ignore"):
+            for code in pieces_module._codes(piece):
+                value = value * pieces_module._STEP + code
+        known.append(value)
+    absent = np.random.default_rng(5).integers(0, 1 << 63, 100_000, dtype=np.uint64)
+    hashes = np.concatenate([np.array(known, np.uint64), absent, np.zeros(1, np.uint64)])
+    expected = [*pieces.known.values(), *[-1] * (len(absent) + 1)]
+    assert pieces.find(hashes).tolist() == expected
+    assert sum(looked) < 1.2 * len(hashes)
+    looked.clear()
+    assert pieces.find(hashes[:12].reshape(3, 4)).tolist() == [expected[:4], expected[4:8], expected[8:12]]
+    assert pieces.find(hashes[:0]).tolist() == []
+
+
 def all_scores(pieces, text):
     """Scores of all segmentations of the marked text."""
     marked = MARK + text.replace(" ", MARK)
