@@ -15,6 +15,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: and so are those of whose features a smaller share is known from two texts or more.
 SURE_LANGUAGE, KNOWN_LANGUAGE = 0.5, 0.75
 GOOD_FROM = 0.3
+#: Bits of the map of rows that go.
+_BITS = 1 << 23
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +60,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     not null and one text a single one stays.
     """
     rows = with_row_keys(docs)
-    found = near_duplicates(rows, id_column="row_key", width=5).select(
-        F.col("doc_id").alias("row_key"), "component_id"
-    )
+    scratch: list[str] = []
+    with recording(scratch):
+        found = near_duplicates(rows, id_column="row_key", width=5).select(
+            F.col("doc_id").alias("row_key"), "component_id"
+        )
     wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     text = F.coalesce(F.concat(F.lit("="), "text"), F.lit(""))
     lone = F.when(wordless, F.concat(F.lit("="), F.col("doc_id").cast("string"), F.lit(":"), text))
@@ -74,6 +78,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         ),
         "near-groups",
     )
+    drop(spark, scratch)
     # Only where rows of a group share its smallest id are texts compared.
     by_id = placed.groupBy("group", "doc_id").agg(
         F.count("*").alias("n"), F.min("row_key").alias("row_key")
@@ -100,7 +105,28 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             .agg(F.min(texts).alias("first"))
             .select("first.row_key")
         )
-    return rows.join(kept, "row_key", "left_semi").select(*COLUMNS)
+    gone = stored(placed.select("row_key").join(kept, "row_key", "left_anti"), "near-gone")
+    return without(rows, gone).select(*COLUMNS)
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose ``row_key`` is not among those of ``gone``.
+
+    A map of fixed size over hashes of the keys that go tells most rows that stay without
+    a shuffle; only rows that share a bit with one that goes, and those that go, meet the
+    keys themselves.
+    """
+    bit = F.pmod(F.xxhash64("row_key"), F.lit(_BITS))
+    word, place = F.floor(bit / 64).cast("int"), (bit % 64).cast("int")
+    words = gone.groupBy(word.alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("bits")
+    )
+    marked = rows.withColumn("of_word", word).join(
+        F.broadcast(words), F.col("of_word") == F.col("word"), "left"
+    )
+    shares = F.coalesce(F.call_function("shiftright", F.col("bits"), place) % 2 != 0, F.lit(False))
+    checked = marked.where(shares).select(*rows.columns).join(gone, "row_key", "left_anti")
+    return marked.where(~shares).select(*rows.columns).unionByName(checked.select(*rows.columns))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,13 +206,26 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(totals.where("labels > 1").drop("labels"), "post")
 
 
+def _kept_nodes(batches: Iterator[pa.RecordBatch], marks: np.ndarray):
+    for batch in batches:
+        yield batch.filter(pa.array(marks[np.mod(batch.column(0).to_numpy(), _BITS)]))
+
+
 def _agreeing(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
-    """Those of the pairs whose signatures agree often enough."""
-    first = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    second = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
+    """Those of the pairs whose signatures agree often enough.
+
+    Tasks drop the signatures of most nodes that are in no pair by a map of fixed size, so
+    that they are not shuffled.
+    """
+    pairs = stored(pairs.distinct(), "near-pairs")
+    marks = _marked(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+    wanted = nodes.select("node", "signature").mapInArrow(
+        lambda batches: _kept_nodes(batches, marks), "node long, signature array<int>"
+    )
+    first = wanted.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
+    second = wanted.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
     return (
-        pairs.distinct()
-        .join(first, "a")
+        pairs.join(first, "a")
         .join(second, "b")
         .where(_agreements("sa", "sb") >= matches)
         .select("a", "b")

@@ -143,3 +143,30 @@ def test_mixed_languages_stay(spark):
     )
     kept = {r["doc_id"] for r in pipeline.known_languages(spark, given, TABLES).collect()}
     assert {i for i in kept if i < 0} == {-1, -2, -3, -4}
+
+
+def test_rows_that_go_are_exact_and_texts_that_stay_are_not_shuffled(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        (F.col("id") * (1 << 33) + F.col("id") % 7).alias("row_key"),
+        F.repeat(F.md5(F.col("id").cast("string")), 50).alias("text"),
+    )
+    gone = rows.where("pmod(hash(row_key), 10) = 0").select("row_key")
+    expected = sorted(r[0] for r in rows.join(gone, "row_key", "left_anti").select("row_key").collect())
+    for bits in (pipeline._BITS, 64, 1 << 10):  # few bits: most rows share one
+        monkeypatch.setattr(pipeline, "_BITS", bits)
+        left = pipeline.without(rows, gone)
+        assert sorted(r["row_key"] for r in left.collect()) == expected
+        assert left.columns == rows.columns
+    assert pipeline.without(rows, gone.limit(0)).count() == 3000
+
+
+def test_near_dedup_drops_what_it_stored_for_links(spark):
+    docs = _documents(spark, [(i, f"{i % 5} one two three four five six seven", "s") for i in range(20)])
+    written = []
+    with pipeline.recording(written):
+        kept = pipeline.one_of_each_group(spark, docs, TABLES)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4]
+    labels = {path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path in written}
+    assert labels == {"row-keys", "near-groups", "near-firsts", "near-gone"}
+    plan = kept._jdf.queryExecution().toString()
+    assert "LeftSemi" not in plan
