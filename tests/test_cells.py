@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendscope.functions import cells, labels, ratios, sectors
 from lendscope.model import CLEANING_NA_TOKENS, NA_TOKENS, SECTORS
@@ -132,3 +133,20 @@ def test_labels(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(shares)], "i int, v double")
     rows = frame.select(labels.percent(F.col("v")).alias("p")).collect()
     assert [r.p for r in rows] == ["4.1%", "2.2%", "100.0%", "0.0%", "0.0%"]
+
+
+def test_whole_numbers_of_plain_digits_go_without_a_remainder(spark):
+    texts = [
+        "0", "7", "007", "2001.0", "2001.000000000", "2001.0000000000", "12.", ".0", "1.5", "1e5",
+        "-3", "+3", "-0", "1,000", "$12", "12%", "12\n", " 12 ", "12.0\n", "\x7f12", "１２", "",
+        "2147483647", "2147483648", "999999999999999999", "9223372036854775807",
+        "9223372036854775808", "99999999999999999999", "123456789012345678.0", "x", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (T.IntegerType(), T.LongType(), T.ShortType()):
+        number = cells.without_symbols(F.col("t")).try_cast(T.DecimalType(38, 18))
+        slow = F.when(number % 1 == 0, number.try_cast(kind))
+        found = rows.select("t", cells.to_integer(F.col("t"), kind).alias("a"), slow.alias("b"))
+        assert all(r.a == r.b for r in found.collect())
+    plan = rows.select(cells.to_integer(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert plan.index("RLIKE") < plan.index("% ")
