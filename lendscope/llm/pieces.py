@@ -37,7 +37,7 @@ LEAST_SCORE = -1e8
 UNKNOWN_COST = 10.0
 _UNITS_KEPT, _OTHERS_KEPT = 200_000, 20_000
 _CHARACTERS_KEPT = 4_000_000
-_CELLS = 100_000
+_CELLS = 30_000
 #: Longer units are taken in blocks of so many characters.
 _LONG, _BLOCK = 20_000, 50_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
