@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import glob
 import os
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from checks import file_queries, loans, raw_files
 from lendscope.model import LOAN_SCHEMA
-from lendscope.operators import kept_totals, layout
+from lendscope.operators import cleaning, kept_totals, layout
 from lendscope.operators.sinks import TABLE_SCHEMA
 from lendscope.plans.dashboard import dashboard, panel_lines
+from lendscope.session import pieces_together, shared_root
 from lendscope.sources import csv_files
 
 
@@ -129,3 +132,14 @@ def test_bounds_of_the_curve_come_from_one_reading(spark):
     codes = spark.range(500).select(F.udf(seen)(F.col("id").cast("string")).alias("code"))
     assert len(layout.class_bounds(codes, ("code",))["code"].bounds) == 63
     assert read.value == 500
+
+
+def _scratch(spark, label):
+    """Folders of scratch of this label."""
+    return set(glob.glob(f"{shared_root(spark)}/{label}-*"))
+
+
+def test_stored_loans_go_when_raw_files_are_written(spark, sf_dir):
+    before = _scratch(spark, "raw-loans")
+    raw_files.write(spark, sf_dir)
+    assert _scratch(spark, "raw-loans") == before
