@@ -139,6 +139,42 @@ def _scratch(spark, label):
     return set(glob.glob(f"{shared_root(spark)}/{label}-*"))
 
 
+def test_small_pieces_share_tasks(spark, tmp_path):
+    path = tmp_path / "lines"
+    path.write_text("".join(f"line {i}\n" for i in range(20_000)))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1k"
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    most = 4 * spark.sparkContext.defaultParallelism
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        with pieces_together(spark, path.stat().st_size):
+            lines = spark.read.text(str(path)).select("_metadata.file_block_start", "value")
+            # Tasks are not filled to the brim.
+            assert lines.rdd.getNumPartitions() <= 1.25 * most
+            assert lines.select("file_block_start").distinct().count() > 2 * most
+            assert lines.select("value").distinct().count() == 20_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+
+
+def test_scans_of_small_pieces_bound_their_tasks(spark, sf_dir, monkeypatch):
+    asked, read_raw = [], csv_files.read_raw
+
+    def read(*given, **named):
+        asked.append(spark.conf.get("spark.sql.files.maxPartitionNum", None))
+        return read_raw(*given, **named)
+
+    monkeypatch.setattr(csv_files, "read_raw", read)
+    for way in ("cut", "joined"):
+        file_queries.queries()[f"a4_text_scan_{way}"][0](spark, sf_dir)
+    assert asked == [str(4 * spark.sparkContext.defaultParallelism)] * 2
+
+
 def test_stored_loans_go_when_raw_files_are_written(spark, sf_dir):
     before = _scratch(spark, "raw-loans")
     raw_files.write(spark, sf_dir)
