@@ -179,3 +179,15 @@ def test_stored_loans_go_when_raw_files_are_written(spark, sf_dir):
     before = _scratch(spark, "raw-loans")
     raw_files.write(spark, sf_dir)
     assert _scratch(spark, "raw-loans") == before
+
+
+def test_rows_are_packed_for_the_shuffle_and_come_back(spark):
+    odd = [None, "", " ", "\x1e", "\x1f", "\x1em", "\x1eb", "a\x1fb", "\x1f\x1e\x1f", "x,\"\n"]
+    rows = [(a, n, b) for a in odd for b in odd for n in (1, None)]
+    made = spark.createDataFrame(rows * 2 + rows[:7], "`a.b` string, n int, c string")
+    counted = cleaning.copy_counts(made)
+    expected = Counter(rows * 2 + rows[:7])
+    assert {tuple(r[:3]): r[3] for r in counted.collect()} == expected
+    assert counted.count() == len(rows)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[packed_cells_#\d+, n#\d+\]", plan)
