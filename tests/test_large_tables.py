@@ -191,3 +191,22 @@ def test_rows_are_packed_for_the_shuffle_and_come_back(spark):
     assert counted.count() == len(rows)
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Aggregate \[packed_cells_#\d+, n#\d+\]", plan)
+
+
+def test_the_curve_derives_loans_once(spark, sf_dir, monkeypatch):
+    read, derive = spark.sparkContext.accumulator(0), loans.derive
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    def counted(*given):
+        state = F.udf(seen)(F.coalesce("borrower_state", F.lit("-")))
+        return derive(*given).withColumn("borrower_state", F.nullif(state, F.lit("-")))
+
+    monkeypatch.setattr(loans, "derive", counted)
+    before = _scratch(spark, "curve-loans")
+    found = file_queries.queries()["a13_filters_on_curve"][0](spark, sf_dir)
+    rows = loans.table(spark, sf_dir, "lineitem").count()
+    assert found.count() == 4 and read.value == rows
+    assert _scratch(spark, "curve-loans") == before
