@@ -28,7 +28,7 @@ from lendscope.operators.measures import (
     added_up,
     loan_measures,
 )
-from lendscope.session import scratch_path
+from lendscope.session import discard, free_shuffles, scratch_path
 
 YEAR = "approval_fiscal_year"
 _FILTERS = (YEAR, STATE, INDUSTRY)
@@ -111,7 +111,7 @@ def write_totals(loans: DataFrame, path: str) -> None:
     """Store the totals of a load's rows under a new path.
 
     Three sets of keys are added up from the loans, one shuffle each, and stored; the
-    smaller cuts come from those rows.
+    smaller cuts come from those rows.  What is no cut itself goes again.
     """
     spark, fact = loans.sparkSession, loans.select(*FACT_COLUMNS)
     left = _cuts()
@@ -126,6 +126,9 @@ def write_totals(loans: DataFrame, path: str) -> None:
         _rolled(stored, mine).hint("rebalance", "cut").sortWithinPartitions(
             "cut", *[k for k in _FILTERS if any(k in c for c in mine)]
         ).write.mode("append").partitionBy("cut").parquet(path)
+        if not folder.startswith(path):
+            discard(spark, folder)
+        free_shuffles(spark)
 
 
 class KeptFacets(Facets):

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from lendscope.operators import kept_totals
 from lendscope.operators.sinks import TABLE_SCHEMA, YEAR, Arrangement, arrange, table_rows
+from lendscope.session import free_shuffles
 
 _MANIFEST, _LOAD = "MANIFEST", "load"
 
@@ -73,6 +74,7 @@ class LoanStore:
         loans = f"{self.path}/loans/{_LOAD}={name}"
         rows = table_rows(cleaned, self._arranged)
         rows.write.options(**self._options).partitionBy(YEAR).parquet(loans)
+        free_shuffles(self.spark)
         written = self.spark.read.schema(TABLE_SCHEMA).parquet(loans)
         kept_totals.write_totals(written, f"{self.path}/totals/{_LOAD}={name}")
         return name

@@ -181,6 +181,14 @@ def test_stored_loans_go_when_raw_files_are_written(spark, sf_dir):
     assert _scratch(spark, "raw-loans") == before
 
 
+def test_scratch_of_totals_and_bounds_goes(spark, sf_dir, tmp_path):
+    table = spark.createDataFrame([], TABLE_SCHEMA)
+    before = _scratch(spark, "base-totals"), _scratch(spark, "curve-values")
+    kept_totals.write_totals(table, str(tmp_path / "totals"))
+    layout.class_bounds(loans.derive(spark, sf_dir, *layout.CURVE_COLUMNS))
+    assert (_scratch(spark, "base-totals"), _scratch(spark, "curve-values")) == before
+
+
 def test_rows_are_packed_for_the_shuffle_and_come_back(spark):
     odd = [None, "", " ", "\x1e", "\x1f", "\x1em", "\x1eb", "a\x1fb", "\x1f\x1e\x1f", "x,\"\n"]
     rows = [(a, n, b) for a in odd for b in odd for n in (1, None)]
